@@ -153,12 +153,15 @@ def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only.
 
     Texts are counted twice, once for thresholds and once for verdicts, which costs less
-    than shuffling them to meet their verdicts.
+    than shuffling them to meet their verdicts. The counts pass through a generator, so
+    that the filter on the verdict does not repeat their expressions.
     """
     own = docs.columns
-    plain = docs.select("text", *GROUP)
-    limits = small(staged(thresholds(staged(sketches(with_rates(with_counts(plain))), "sketches")), "thresholds"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_n_lines"]
+    rated = with_rates(staged(with_counts(docs.select("text", *GROUP)).select(*GROUP, *counts), "counts"))
+    limits = small(staged(thresholds(staged(sketches(rated), "sketches")), "thresholds"))
     clash = {c: f"_own_{n}" for n, c in enumerate(own) if c not in ("text", *GROUP)}
     names = docs.withColumnsRenamed(clash)
-    kept = judged(with_rates(with_counts(names)), limits).filter("kept")
+    once = with_counts(names).select(*names.columns, F.inline(F.array(F.struct(*counts))))
+    kept = judged(with_rates(once), limits).filter("kept")
     return kept.select(*[F.col(clash.get(c, c)).alias(c) for c in own])
