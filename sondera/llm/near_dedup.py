@@ -9,7 +9,9 @@ A bucket is never expanded into its pairs. In each round every bucket names one
 component are not compared again. The first round uses buckets of two bands at once,
 which hold close copies. After ROUNDS rounds the members outside of their bucket's
 largest component, if any, are compared with all others of the bucket in other
-components, so no link between components stays unseen.
+components, so no link between components stays unseen. A pair is formed only if both
+sets have enough shingles that any other set has too, which is exact and leaves out
+copies that were edited too much to be linked with anything.
 
 Each candidate pair is compared by batches of an independent signature, and dropped as
 soon as the posterior probability of the required similarity (uniform prior) falls below
@@ -203,22 +205,40 @@ def components(parent: DataFrame, links: DataFrame) -> DataFrame:
     return staged(moved.select("node", F.coalesce("to", "component").alias("component")), "parents")
 
 
-def _candidates(members: DataFrame, seed: int) -> DataFrame:
-    """Pairs of each member with its bucket's leader, unless they share a component. members: key, node, component."""
-    draw = F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("h"), F.col("node"), F.col("component"))
+def shared_sizes(full: DataFrame) -> DataFrame:
+    """node, size, shared: how many shingles a set has, and how many of them any other set has too."""
+    alone = full.select("doc_id", F.explode("s").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("node"))
+    alone = alone.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = full.groupBy(F.col("doc_id").alias("node")).agg(F.max(F.size("s")).alias("size"))
+    return sizes.join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _fit(a: str, b: str, percent: int = PERCENT):
+    """Whether two sets of these sizes can have the similarity if they meet in shared shingles only.
+
+    It needs percent / (100 + percent) of the sum of sizes in common. This drops no link.
+    """
+    common = F.least(F.col(f"{a}shared"), F.col(f"{b}shared"))
+    return common * (100 + percent) >= percent * (F.col(f"{a}size") + F.col(f"{b}size"))
+
+
+def _candidates(members: DataFrame, seed: int, percent: int = PERCENT) -> DataFrame:
+    """Pairs of each member with its bucket's leader, unless they share a component. members: key, node, component, size, shared."""
+    draw = F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("h"), "node", "component", "size", "shared")
     leaders = members.groupBy("key").agg(F.min(draw).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = members.join(leaders.select("key", "lead"), "key").filter("component != lead.component")
+    pairs = members.join(leaders.select("key", "lead"), "key").filter((F.col("component") != F.col("lead.component")) & _fit("", "lead.", percent))
     return pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
 
 
-def _remaining(members: DataFrame) -> DataFrame:
+def _remaining(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All pairs of each bucket across components that have one side outside of the bucket's largest component."""
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     major = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     divided = members.join(major.select("key", F.col("top.component").alias("major")), "key")
-    minor = divided.filter("component != major").select("key", F.col("node").alias("m"), F.col("component").alias("mc"))
-    pairs = divided.join(minor, "key").filter((F.col("component") != F.col("mc")) & ((F.col("component") == F.col("major")) | (F.col("node") < F.col("m"))))
-    return pairs.select(F.least("node", "m").alias("a"), F.greatest("node", "m").alias("b")).distinct()
+    minor = divided.filter("component != major").select("key", *[F.col(c).alias(f"m_{c}") for c in ("node", "component", "size", "shared")])
+    across = (F.col("component") != F.col("m_component")) & ((F.col("component") == F.col("major")) | (F.col("node") < F.col("m_node")))
+    pairs = divided.join(minor, "key").filter(across & _fit("", "m_", percent))
+    return pairs.select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b")).distinct()
 
 
 def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -253,6 +273,8 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signatures = staged(signatures, "signatures")
     start = usable.select(F.col("doc_id").alias("node")).distinct()
     where = staged(bands.select("node", F.col("node").alias("component")).distinct(), "parents")
+    # Sets with too few shared shingles have no link at all; the others carry their numbers along.
+    weights = small(staged(shared_sizes(full).filter(F.col("shared") * 100 >= percent * F.col("size")), "weights"))
 
     def verified(candidates: DataFrame) -> DataFrame:
         one = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("sig_a"))
@@ -262,8 +284,8 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     for step in range(LEADER_ROUNDS + 2):
         source = wide if step == 0 else bands
-        members = source.join(where, "node")
-        where = components(where, verified(_candidates(members, step) if step <= LEADER_ROUNDS else _remaining(members)))
+        members = source.join(weights, "node").join(where, "node")
+        where = components(where, verified(_candidates(members, step, percent) if step <= LEADER_ROUNDS else _remaining(members, percent)))
     # Classes of equal sets join last: they add their members to the components of their representatives.
     whole = staged(start.join(where, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "parents")
     merged = components(whole, equal).withColumnRenamed("node", "doc_id")
