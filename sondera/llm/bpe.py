@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 IDS_SCHEMA = "doc_id long, ids array<int>"
 
-#: Words kept per worker; when there are more, the table starts anew, with equal results.
+#: Pieces, and as many words, kept per worker in two generations: when the younger is full, the older goes.
 CACHE_WORDS = 700_000
 
 #: The rank of pairs that never merge.
@@ -158,6 +158,8 @@ class Coder:
         self.merges = Merges(self.ranks)
         self.known: dict[str, bytes] = {}
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
         """Cut the text where the pattern always cuts.
@@ -181,23 +183,26 @@ class Coder:
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces: whole pre-tokens by the table, the others by one replay."""
-        cut = {p: [m.encode("utf-8", "surrogatepass") for m in self.matches(p)] for p in pieces}
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        words, packed = self.words, self.packed
-        new = list({m for ms in cut.values() for m in ms if m not in packed and m not in words})
+        again = pieces & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        cut = {p: [m.encode("utf-8", "surrogatepass") for m in self.matches(p)] for p in pieces - again}
+        packed = self.packed
+        distinct = {m for ms in cut.values() for m in ms if m not in packed}
+        if len(self.words) > CACHE_WORDS // 2:
+            self.older_words, self.words = self.words, {}
+        words, older = self.words, self.older_words
+        words.update((m, older[m]) for m in distinct & older.keys())
+        new = list(distinct - words.keys())
         words.update(zip(new, replay(new, self.merges), strict=True))
         for p, ms in cut.items():
-            self.known[p] = b"".join([packed.get(m) or words.get(m) or replay([m], self.merges)[0] for m in ms])
+            self.known[p] = b"".join([packed.get(m) or words[m] for m in ms])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         pieces = [self._pieces(t or "") for t in texts]
-        needed = set().union(*pieces)
-        new = needed - self.known.keys()
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = needed
-        self._learn(new)
+        if len(self.known) > CACHE_WORDS // 2:
+            self.older, self.known = self.known, {}
+        if new := set().union(*pieces) - self.known.keys():
+            self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
 

@@ -37,8 +37,11 @@ _tokenizers: dict[str, WordTokenizer] = {}
 class WordTokenizer:
     """Packed ids of a text by a tokenizer that never looks across ASCII white space.
 
-    Its normaliser turns white space to single spaces and its splitter drops them, so a
-    text's ids are those of its words in turn. Words are encoded once per worker.
+    Its normaliser turns white space to single spaces and lower case, and its splitter
+    drops spaces and parts letters from marks. So a text's ids are those of its words in
+    turn, and those of a word that ends in a letter and one full stop or comma are those
+    of both parts. Words are encoded once and kept in two generations: when the younger
+    is full, the older goes, so frequent words stay and memory is bounded.
     """
 
     def __init__(self, path: str):
@@ -47,18 +50,32 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, older = self.known, self.older
+        again = words & older.keys()
+        known.update((w, older[w]) for w in again)
+        new = words - again
+        marked = [w for w in new if w[-1] in b".," and len(w) > 1 and (97 <= w[-2] <= 122 or 65 <= w[-2] <= 90)]
+        parts = (new - set(marked)) | {w[:-1] for w in marked} | {w[-1:] for w in marked}
+        for w in parts & older.keys():
+            known[w] = older[w]
+        plain = list(parts - known.keys())
+        for i in range(0, len(plain), 10_000):
+            some = plain[i : i + 10_000]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
+            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, found, strict=True))
+        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in marked)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [(t or "").encode("utf-8").split() for t in texts]
-        needed = set().union(*words)
-        new = list(needed - self.known.keys())
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(needed)
-        for i in range(0, len(new), 10_000):
-            some = new[i : i + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
-            self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, found, strict=True))
+        raw = [(t or "").encode("utf-8") for t in texts]
+        # Special tokens are matched before letters are lowered, so texts that may hold one keep their case.
+        words = [(t if b"<|" in t else t.lower()).split() for t in raw]
+        if len(self.known) > CACHE_WORDS // 2:
+            self.older, self.known = self.known, {}
+        if new := set().union(*words) - self.known.keys():
+            self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
