@@ -29,7 +29,8 @@ GROUP_PIECES = 16_384
 SEPARATOR_ID = 0
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECES_SCHEMA + ", sequence_id long, offset long"
-CACHE_WORDS = 500_000
+#: Words kept per worker, about 150 bytes each.
+CACHE_WORDS = 1_200_000
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
