@@ -1,13 +1,15 @@
 """Personal data by base patterns and bootstrapped contextual extraction.
 
-One pass over the texts finds the base spans and every other token that could be an
-identifier (it has a digit or @ and MIN_LENGTH characters or more), each with the words
-around it. A lexical pattern is the token's shape with two words before it, one word
-before it, or one word after it. Base spans are the seed instances. Spark then scores
+One pass over the texts finds the base spans, every other token that could be an
+identifier (it has a digit or @ and MIN_LENGTH characters or more) and every run of such
+tokens with single spaces between them, each with the words around it. A lexical pattern
+is two words before the instance, or its coarse class with one word before or after it,
+so instances of any shape meet the seeds' patterns. Base spans are the seed instances. Spark then scores
 the bipartite graph of patterns and instances in ROUNDS rounds: a pattern's confidence is
 the mean score of its distinct instances, discounted for low support, and an instance's
 score is the best confidence among its patterns. Instances that reach CONFIDENCE get
-spans of the kind that leads their best pattern; base spans stay as they are.
+spans of the kind that leads their best pattern, the longest of those that overlap; base
+spans stay as they are.
 """
 
 from __future__ import annotations
@@ -80,10 +82,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def shape(value: str) -> str:
-    """Digit runs with their length, letter runs without, other characters as they are."""
-    s = re.sub("[0-9]+", lambda m: f"\x01{len(m[0])}\x02", value)
-    return re.sub(r"[^\W\d_\x01\x02]+", "a", s).replace("\x01", "9{").replace("\x02", "}")
+def coarse(value: str) -> str:
+    """The class of a value: it has an @, it has letters and digits, or it has no letters."""
+    return "@" if "@" in value else "a" if any(map(str.isalpha, value)) else "9"
 
 
 def _context(text: str, start: int, end: int) -> tuple[str, str, str]:
@@ -98,7 +99,13 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     """(start, end, value, kind number or -1, patterns) of base spans and of all other possible identifiers."""
     taken = sorted((s, e) for _, s, e in base)
     spots = [(s, e, k) for k, s, e in base]
+    run: tuple[int, int, int] | None = None  # start, end and tokens of the run so far
     end = n = 0
+
+    def close():
+        if run and run[2] > 1 and run[1] - run[0] >= MIN_LENGTH:
+            spots.append((run[0], run[1], -1))
+
     for m in _SIGN.finditer(text):
         at = m.start()
         if at < end:
@@ -118,13 +125,21 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
             first += 1
         while last > first and text[last - 1] in _EDGE:
             last -= 1
-        if last - first >= MIN_LENGTH and _SIGN.search(text, first, last) and not any(s < last and first < e for s, e in taken):
+        free = _SIGN.search(text, first, last) and not any(s < last and first < e for s, e in taken)
+        if free and last - first >= MIN_LENGTH:
             spots.append((first, last, -1))
+        first -= first > start and text[first - 1] == "("  # of a number's area code
+        if free and run and run[1] == first - 1 and text[first - 1] == " ":
+            run = run[0], last, run[2] + 1
+        else:
+            close()
+            run = (first, last, 1) if free else None
+    close()
     out = []
     for s, e, k in spots:
         value = text[s:e]
-        form = shape(value)
-        out.append((s, e, value, k, [f"{n}\t{form}\t{w}" for n, w in enumerate(_context(text, s, e)) if w]))
+        form = coarse(value)
+        out.append((s, e, value, k, [f"{n}\t{form if n else ''}\t{w}" for n, w in enumerate(_context(text, s, e)) if w]))
     return out
 
 
@@ -186,6 +201,8 @@ def extract(docs: DataFrame) -> DataFrame:
     extra = bootstrap(seen)
     spans = seen.filter("kind < 0").drop("kind").join(extra, "value").groupBy("row")
     spans = spans.agg(F.collect_list(F.struct(F.col("kind").cast("int").alias("kind"), "start", "end")).alias("added"))  # of one document
+    inside = lambda s, o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])
+    spans = spans.withColumn("added", F.filter("added", lambda s: ~F.exists("added", lambda o: inside(s, o))))
     both = all_rows.select("row", "doc_id", "base").join(spans, "row", "left")
     every = F.concat("base", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int>>")))
     return both.select("doc_id", F.sort_array("base").alias("base"), F.sort_array(every).alias("spans"))

@@ -180,6 +180,21 @@ def test_pii_patterns_discover_identifiers(spark):
     assert all(r.spans == "" for r in pii.extract(spark.createDataFrame(cards, "doc_id long, text string")).select(pii.listed(F.col("spans")).alias("spans")).collect())
 
 
+def test_pii_patterns_discover_other_shapes(spark):
+    from pyspark.sql import functions as F
+    from sondera.llm import pii
+
+    texts = [(n, f"please write to user{n}@example.org soon") for n in range(40)]
+    texts += [(50 + n, f"just call me on +49 30 {5550000 + 37 * n} today") for n in range(40)]
+    texts += [(100, "please write to someone@localhost soon"), (101, "please write to jane_77 now"), (102, "just call me on 030 555 77 today"), (103, "just call me on (030)5557-712 today")]
+    texts += [(104, "the price is 12345.67 euros"), (105, "lot 2019 123456 was sold"), (106, "just call me on Monday today")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.extract(docs).select("doc_id", pii.listed(F.col("spans")).alias("spans")).collect()}
+    assert got[100] == "email:16:33" and got[101] == "email:16:23"
+    assert got[102] == "phone:16:26" and got[103].startswith("phone:1")
+    assert got[104] == got[105] == got[106] == ""
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
