@@ -19,8 +19,12 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return quality_model.keep(docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
+#: Similarity in percent from which the near_dedup stage drops copies.
+NEAR_PERCENT = 80
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep(docs).select(*COLUMNS)
+    return near_dedup.keep(docs, NEAR_PERCENT).select(*COLUMNS)
 
 
 def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Documents are sets of 5-word shingles. Documents with equal sets form a class at once;
-only its smallest doc_id goes on. BANDS bands of ROWS minima each bring together pairs:
-at the required similarity a pair misses all bands with probability 7e-7.
+only its smallest doc_id goes on. Bands of ROWS minima each bring together pairs; there
+are as many as it takes for a pair of the required similarity to miss all of them with
+probability BAND_MISS at most: 24 at 85 percent (7.7e-7), 36 at 80 percent (6.2e-7).
 
 A bucket is never expanded into its pairs. In each round every bucket names one leader
 (another one each round) and compares its members with it; pairs already in one
@@ -21,7 +22,7 @@ MISS. Survivors are confirmed on their full sets.
 from __future__ import annotations
 
 import functools
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from sondera.llm.common import byte_words, small, staged
 SHINGLE_WORDS = 5
 #: Required similarity in percent.
 PERCENT = 85
-BANDS, ROWS = 24, 5
+ROWS = 5
+BAND_MISS = 1e-6
 SIGNATURE, BATCH = 64, 16
 MISS = 1e-6
 LEADER_ROUNDS = 2
@@ -43,9 +45,15 @@ _MASK = (1 << 64) - 1
 
 
 @functools.cache
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
+def band_count(percent: int) -> int:
+    """The least even number of bands that a pair of this similarity misses with probability BAND_MISS at most."""
+    return 2 * ceil(log(BAND_MISS) / log(1 - (percent / 100) ** ROWS) / 2)
+
+
+@functools.cache
+def _multipliers(bands: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(85)
-    n = BANDS * ROWS + SIGNATURE
+    n = bands * ROWS + SIGNATURE
     return draw.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 1 << 63, n, np.uint64)
 
 
@@ -80,19 +88,21 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(total)
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each of the BANDS * ROWS + SIGNATURE hash functions; ``hashes`` are well mixed already."""
-    a, b = _multipliers()
+def minima(hashes: np.ndarray, n_bands: int) -> np.ndarray:
+    """The least value of each of the n_bands * ROWS + SIGNATURE hash functions; ``hashes`` are well mixed already."""
+    a, b = _multipliers(n_bands)
     out = np.full(len(a), _MASK, np.uint64)
     for i in range(0, len(hashes), 1024):
         out = np.minimum(out, (a[:, None] * hashes[None, i : i + 1024] + b[:, None]).min(1))
     return out
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, set size, digest of the set, band keys and signature of every row."""
     from sondera.llm.bpe import blocks
 
+    n_bands = band_count(percent)
+
     def run(batches):
         types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
         for b in blocks(batches):
@@ -102,9 +112,9 @@ def signed(docs: DataFrame) -> DataFrame:
                 if not len(s):
                     rows.append((doc, 0, None, None, None))
                     continue
-                m = minima(s)
-                bands = [xxhash.xxh3_64_intdigest(m[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
-                signature = (m[BANDS * ROWS :] >> np.uint64(48)).astype("<u2").tobytes()
+                m = minima(s, n_bands)
+                bands = [xxhash.xxh3_64_intdigest(m[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(n_bands)]
+                signature = (m[n_bands * ROWS :] >> np.uint64(48)).astype("<u2").tobytes()
                 rows.append((doc, len(s), xxhash.xxh3_128_digest(s.tobytes()), [x - (1 << 64) if x >> 63 else x for x in bands], signature))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in SIGNED_SCHEMA.split(", ")])
@@ -249,7 +259,7 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     of them hold for it; each row is returned. A null doc_id links with nothing and is
     its own (null) component. Extra columns are ignored; an empty table gives an empty result.
     """
-    rows = staged(signed(docs), "signed")
+    rows = staged(signed(docs, percent), "signed")
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
     # One representative of each set of shingles; its signature is taken along.
     grouped = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("r"), F.count(F.lit(1)).alias("n"))
@@ -258,7 +268,7 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     equal = same.filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     key = lambda k, v: F.xxhash64(k, v)
     bands = classes.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("k", "v")).select("node", key("k", "v").alias("key")).distinct()
-    pairs_of_bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS // 2 - 1)), lambda k: F.xxhash64(F.lit("wide"), k, F.get("bands", 2 * k), F.get("bands", 2 * k + 1)))
+    pairs_of_bands = F.transform(F.sequence(F.lit(0), F.lit(band_count(percent) // 2 - 1)), lambda k: F.xxhash64(F.lit("wide"), k, F.get("bands", 2 * k), F.get("bands", 2 * k + 1)))
     wide = classes.select(F.col("doc_id").alias("node"), F.explode(pairs_of_bands).alias("key")).distinct()
 
     def shared_buckets(members: DataFrame, tag: str) -> DataFrame:
@@ -294,8 +304,8 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep(docs: DataFrame) -> DataFrame:
+def keep(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are kept: one document of each component. Columns stay."""
-    found = clusters(docs)
+    found = clusters(docs, percent)
     gone = small(staged(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -267,6 +267,25 @@ def test_near_duplicates_equal_brute_force(spark, both, empty):
     assert near_dedup.clusters(empty).count() == 0
 
 
+def test_pipeline_stage_drops_copies_from_80_percent(spark):
+    import corpus_pipeline
+    from sondera.llm import near_dedup
+
+    texts, similar = [], []
+    for p in range(30):
+        words = [f"p{p}w{n}" for n in range(200)]
+        other = words[: 180 + p % 4] + [f"p{p}v{n}" for n in range(20 - p % 4)]
+        a, b = shingle_set(" ".join(words)), shingle_set(" ".join(other))
+        similar.append(100 * len(a & b) / len(a | b))
+        texts += [(2 * p, " ".join(words)), (2 * p + 1, " ".join(other))]
+    assert all(80 <= x < 85 for x in similar)
+    texts += [(100, " ".join(f"q{n}" for n in range(200))), (101, " ".join(f"q{n}" if n < 170 else f"r{n}" for n in range(200)))]  # 0.73
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()) == [*range(0, 60, 2), 100, 101]
+    assert near_dedup.keep(docs).count() == len(texts)
+    assert near_dedup.band_count(85) == 24 and (1 - 0.8**near_dedup.ROWS) ** near_dedup.band_count(80) <= 1e-6
+
+
 def test_near_duplicate_test_is_sequential():
     from sondera.llm import near_dedup
 
