@@ -217,11 +217,11 @@ def company_rollup(spark: SparkSession, sf_dir: str) -> Q:
 
 def company_tag_rank(spark: SparkSession, sf_dir: str) -> Q:
     rows = rollup.ranked(rollup.with_tag(rollup.by_company(bank.tagged(spark, sf_dir))), ["company", "tag"])
-    return rows.filter("rank <= 5").select("company", "tag", F.col("rank").cast("long").alias("rank"), "label", "member_count")
+    return rows.select("company", "tag", F.col("rank").cast("long").alias("rank"), "label", "member_count")
 
 
 def company_sheet(spark: SparkSession, sf_dir: str) -> Q:
-    rows = rollup.company_sheet(rollup.by_company(bank.tagged(spark, sf_dir)).filter("member_count >= 5"))
+    rows = rollup.company_sheet(rollup.by_company(bank.tagged(spark, sf_dir)))
     return rows.toDF("company", "question", "tier", "count", "topic", "companies", "variants")
 
 
@@ -231,16 +231,16 @@ def knowledge_rollup(spark: SparkSession, sf_dir: str) -> Q:
 
 def knowledge_rank(spark: SparkSession, sf_dir: str) -> Q:
     rows = rollup.ranked(rollup.with_category(bank.tagged(spark, sf_dir), bank.topic_names(spark)), ["category"])
-    return rows.filter("rank <= 20").select("category", F.col("rank").cast("long").alias("rank"), "label", "member_count", "company_count")
+    return rows.select("category", F.col("rank").cast("long").alias("rank"), "label", "member_count", "company_count")
 
 
 def knowledge_sheet(spark: SparkSession, sf_dir: str) -> Q:
-    rows = rollup.with_category(bank.tagged(spark, sf_dir).filter("member_count >= 5"), bank.topic_names(spark))
+    rows = rollup.with_category(bank.tagged(spark, sf_dir), bank.topic_names(spark))
     return rollup.knowledge_sheet(rows).toDF("category", "question", "tier", "count", "company_count", "companies", "secondary", "variants")
 
 
 def company_report(spark: SparkSession, sf_dir: str) -> Q:
-    return rollup.report_lines(rollup.by_company(bank.tagged(spark, sf_dir).filter("member_count >= 5")))
+    return rollup.report_lines(rollup.by_company(bank.tagged(spark, sf_dir)))
 
 
 def _audited(spark: SparkSession, sf_dir: str) -> tuple[Q, Q]:
