@@ -267,7 +267,7 @@ def json_repair(spark: SparkSession, sf_dir: str) -> Q:
 
 
 def excel_sanitize(spark: SparkSession, sf_dir: str) -> Q:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("\u0001"), F.substring("text", 1, 40), F.lit("\u001f")).alias("t"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("\u0001"), F.col("text"), F.lit("\u001f")).alias("t"))
     return docs.select("doc_id", text.sheet_safe("t").alias("safe"))
 
 

@@ -38,3 +38,12 @@ def test_company_report_has_every_question(spark):
     lines = queries()["company_report"](spark, SF).filter("o4 > 0 and o5 = 0").collect()
     assert any(r.member_count < 5 for r in rows)
     assert Counter(r.company for r in rows) == Counter(r.o2 for r in lines)
+
+
+def test_excel_sanitize_treats_whole_texts(spark, tmp_path):
+    from sondera.plans.queries import queries
+
+    long = "x" * 60 + "\u0002 end\u001e\n" + "y" * 60
+    spark.createDataFrame([(1, long), (2, "short"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.safe for r in queries()["excel_sanitize"](spark, str(tmp_path)).collect()}
+    assert got == {1: "x" * 60 + " end\n" + "y" * 60, 2: "short", 3: None}
