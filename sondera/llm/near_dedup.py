@@ -158,15 +158,17 @@ def plausible(pairs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> D
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """doc_id and its shingle hashes."""
+    """doc_id, a number of its shingle set (64 bits of a digest) and its shingle hashes."""
     from sondera.llm.bpe import blocks
 
     def run(batches):
         for b in blocks(batches):
             s = [shingles(t).view(np.int64) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.list_(pa.int64()))], names=["doc_id", "s"])
+            number = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in s]
+            number = pa.array([x - (1 << 64) if x >> 63 else x for x in number], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), number, pa.array(s, pa.list_(pa.int64()))], names=["doc_id", "set", "s"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set long, s array<long>")
 
 
 def confirmed(pairs: DataFrame, full: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -216,11 +218,11 @@ def components(parent: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def shared_sizes(full: DataFrame) -> DataFrame:
-    """node, size, shared: how many shingles a set has, and how many of them any other set has too."""
-    alone = full.select("doc_id", F.explode("s").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("node"))
-    alone = alone.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = full.groupBy(F.col("doc_id").alias("node")).agg(F.max(F.size("s")).alias("size"))
-    return sizes.join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    """node, size, shared: how many shingles a set has, and how many of them any other set has too; one row per set of a node."""
+    alone = full.select("set", F.explode("s").alias("x")).groupBy("x").agg(F.min("set").alias("set"), F.max("set").alias("other"))
+    alone = alone.filter("set = other").groupBy("set").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = full.select(F.col("doc_id").alias("node"), "set", F.size("s").alias("size")).distinct()
+    return sizes.join(alone, "set", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
 def _fit(a: str, b: str, percent: int = PERCENT):

@@ -267,6 +267,18 @@ def test_near_duplicates_equal_brute_force(spark, both, empty):
     assert near_dedup.clusters(empty).count() == 0
 
 
+def test_near_duplicates_of_a_doc_id_on_two_texts(spark):
+    from sondera.llm import near_dedup
+
+    copy = " ".join(f"w{n}" for n in range(200))
+    texts = [(1, copy), (2, copy + " tail"), (2, " ".join(f"u{n}" for n in range(300))), (3, " ".join(f"x{n}" for n in range(50)))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = near_dedup.clusters(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(1, 196, 1), (2, 197, 1), (2, 296, 1), (3, 46, 3)]
+    full = near_dedup.sets(spark.createDataFrame([*texts, (4, texts[2][1] + " end")], "doc_id long, text string"))
+    assert sorted((r.node, r.size, r.shared) for r in near_dedup.shared_sizes(full).collect()) == [(1, 196, 196), (2, 197, 196), (2, 296, 296), (3, 46, 0), (4, 297, 296)]
+
+
 def test_pipeline_stage_drops_copies_from_80_percent(spark):
     import corpus_pipeline
     from sondera.llm import near_dedup
