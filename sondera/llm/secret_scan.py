@@ -1,11 +1,12 @@
 """Secret scans by character Markov models, in DataFrame functions only.
 
 Three base patterns give spans. Further spans come from tokens of MIN_TOKEN characters
-and more that hold a letter and a digit: two first-order character Markov models, one of
+and more, whatever characters they hold: two first-order character Markov models, one of
 random strings and one of ordinary identifiers, score each token, and a log-likelihood
 ratio per character above MIN_RATIO marks it. Both are trained on samples that the base
 patterns label: the values inside base spans are the random strings, the words of the
-same documents the ordinary ones. All documents with a span contribute.
+same documents and their identifiers outside of base spans the ordinary ones. All
+documents with a span contribute.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ MIN_RATIO = 1.0
 #: The ASCII characters and one symbol for all others.
 SYMBOLS = 129
 TOKEN = r"([A-Za-z0-9+/_=-]+)"
+#: Identifiers that are not words alone: with a digit or a mark.
+IDENTIFIER = r"([A-Za-z_]*[0-9+/=-][A-Za-z0-9+/_=-]*)"
 SPAN = "array<struct<start:int,order:int,end:int,kind:string,value:string>>"
 
 
@@ -66,10 +69,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
 
 
 def tokens(text: Column) -> Column:
-    """Spans of long tokens with a digit."""
-    could = F.coalesce(text, F.lit("")).rlike(f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}") & F.coalesce(text, F.lit("")).rlike("[0-9]")
-    found = F.filter(spans(F.coalesce(text, F.lit("")), TOKEN, MIN_TOKEN, len(KINDS), "random"), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    return F.when(could, found).otherwise(F.array().cast(SPAN))
+    """Spans of long tokens."""
+    return spans(F.coalesce(text, F.lit("")), TOKEN, MIN_TOKEN, len(KINDS), "random")
 
 
 def transitions(value: Column) -> Column:
@@ -87,7 +88,10 @@ def train(found: DataFrame) -> list[float]:
     """
     marked = found.filter(F.size("_base") > 0)
     random = marked.select(F.explode("_base.value").alias("value"), F.lit(1).alias("r"))
+    outside = lambda t: ~F.exists("_base.value", lambda v: F.contains(t, v) | F.contains(v, t))
     ordinary = marked.select(F.explode(F.split(F.coalesce("text", F.lit("")), r"[^\p{L}_]+")).alias("value"), F.lit(0).alias("r"))
+    identifiers = F.filter(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(IDENTIFIER), 1), outside)
+    ordinary = ordinary.unionByName(marked.select(F.explode(identifiers).alias("value"), F.lit(0).alias("r")))
     pairs = random.unionByName(ordinary.filter(F.length("value") > 3)).select("r", F.explode(transitions(F.col("value"))).alias("t"))
     rows = pairs.groupBy("t").agg(F.sum("r").alias("random"), F.sum(1 - F.col("r")).alias("ordinary")).collect()  # SYMBOLS**2 at most
     counts = {t: (r, o) for t, r, o in rows}

@@ -232,6 +232,25 @@ def test_secret_model_and_mask(spark):
     assert "token=" not in masked[3].text and masked[3].text.startswith("the quick brown fox jumps over [SECRET] and")
 
 
+def test_secret_model_scores_keys_without_digits(spark):
+    import random
+    import string
+
+    from sondera.llm import secret_scan
+
+    draw = random.Random(7)
+    key = lambda n, among=string.ascii_letters + string.digits: "".join(draw.choices(among, k=n))
+    names = "Alpha Bravo Charlie Delta Echo Foxtrot Golf Hotel India Juliett Kilo Lima Mike November Oscar Papa Quebec Romeo Sierra Tango Uniform Victor Whiskey Xray Yankee Zulu"
+    prose = f"{names} the quick brown fox jumps over the lazy dog while internationalization of build-2024-10-17/module_name keeps running"
+    texts = [(n, f"{prose} token={key(32)} and more of them on 2024-10-17") for n in range(300)]
+    keys = [key(24, string.ascii_letters) for _ in range(20)]
+    texts += [(1000 + n, f"{prose} {k} end") for n, k in enumerate(keys)]
+    texts += [(2000, f"only letters {keys[0]} here"), (2001, prose), (2002, "internationalization 2024-10-17-2024-10-17 " + "-" * 40)]
+    found = {r.doc_id: [s.value for s in r._random] for r in secret_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert all(found[1000 + n] in ([], [k]) for n, k in enumerate(keys)) and sum(map(len, (found[1000 + n] for n in range(20)))) >= 5
+    assert found[2001] == found[2002] == [] == found[5]
+
+
 def shingle_set(t):
     words = WORD.findall(ascii_lower(t))
     return frozenset([tuple(words)] if 0 < len(words) < 5 else [tuple(words[i : i + 5]) for i in range(len(words) - 4)])
