@@ -12,7 +12,11 @@ which hold close copies. After ROUNDS rounds the members outside of their bucket
 largest component, if any, are compared with all others of the bucket in other
 components, so no link between components stays unseen. A pair is formed only if both
 sets have enough shingles that any other set has too, which is exact and leaves out
-copies that were edited too much to be linked with anything.
+copies that were edited too much to be linked with anything. In the last step a pair must
+also have enough shingles in common by SEGMENTS parts of the hash space, which is exact
+too: in each part two sets share at most the smaller of their numbers of such shingles.
+So a bucket full of copies of one text that are just too far from each other makes hardly
+any pairs, though all their shared sizes would allow them.
 
 Each candidate pair is compared by batches of an independent signature, and dropped as
 soon as the posterior probability of the required similarity (uniform prior) falls below
@@ -40,6 +44,10 @@ BAND_MISS = 1e-6
 SIGNATURE, BATCH = 64, 16
 MISS = 1e-6
 LEADER_ROUNDS = 2
+#: Parts of the hash space in which shared shingles are counted.
+SEGMENTS = 64
+#: Members of one bucket outside of its largest component that a task of the last step compares with the bucket.
+SALT_ROWS = 256
 SIGNED_SCHEMA = "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary"
 _MASK = (1 << 64) - 1
 
@@ -157,8 +165,13 @@ def plausible(pairs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> D
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+def segment_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each part of the hash space."""
+    return np.bincount((hashes.view(np.uint64) & np.uint64(SEGMENTS - 1)).astype(np.int64), minlength=SEGMENTS)
+
+
 def sets(docs: DataFrame) -> DataFrame:
-    """doc_id, a number of its shingle set (64 bits of a digest) and its shingle hashes."""
+    """doc_id, a number of its shingle set (64 bits of a digest), its shingle hashes and their number in each segment."""
     from sondera.llm.bpe import blocks
 
     def run(batches):
@@ -166,9 +179,10 @@ def sets(docs: DataFrame) -> DataFrame:
             s = [shingles(t).view(np.int64) for t in b.column(1).to_pylist()]
             number = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in s]
             number = pa.array([x - (1 << 64) if x >> 63 else x for x in number], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), number, pa.array(s, pa.list_(pa.int64()))], names=["doc_id", "set", "s"])
+            parts = pa.array([segment_counts(x) for x in s], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), number, pa.array(s, pa.list_(pa.int64())), parts], names=["doc_id", "set", "s", "parts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set long, s array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set long, s array<long>, parts array<int>")
 
 
 def confirmed(pairs: DataFrame, full: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -218,11 +232,14 @@ def components(parent: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def shared_sizes(full: DataFrame) -> DataFrame:
-    """node, size, shared: how many shingles a set has, and how many of them any other set has too; one row per set of a node."""
-    alone = full.select("set", F.explode("s").alias("x")).groupBy("x").agg(F.min("set").alias("set"), F.max("set").alias("other"))
-    alone = alone.filter("set = other").groupBy("set").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = full.select(F.col("doc_id").alias("node"), "set", F.size("s").alias("size")).distinct()
-    return sizes.join(alone, "set", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    """node, size, shared, parts: how many shingles a set has, how many of them any other set has too, and these by segment; one row per set of a node."""
+    alone = full.select("set", F.explode("s").alias("x")).groupBy("x").agg(F.min("set").alias("set"), F.max("set").alias("other")).filter("set = other")
+    alone = alone.groupBy("set", F.col("x").bitwiseAND(F.lit(SEGMENTS - 1)).cast("int").alias("part")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    alone = alone.groupBy("set").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("alone"))  # SEGMENTS entries at most
+    sizes = full.select(F.col("doc_id").alias("node"), "set", F.size("s").alias("size"), "parts").dropDuplicates(["node", "set"])
+    met = F.when(F.col("alone").isNull(), F.col("parts")).otherwise(F.transform("parts", lambda n, i: n - F.coalesce(F.try_element_at("alone", i), F.lit(0))))
+    out = sizes.join(alone, "set", "left").select("node", "size", met.alias("parts"))
+    return out.select("node", "size", F.aggregate("parts", F.lit(0), lambda a, x: a + x).alias("shared"), "parts")
 
 
 def _fit(a: str, b: str, percent: int = PERCENT):
@@ -242,14 +259,22 @@ def _candidates(members: DataFrame, seed: int, percent: int = PERCENT) -> DataFr
     return pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
 
 
-def _remaining(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """All pairs of each bucket across components that have one side outside of the bucket's largest component."""
+def _remaining(members: DataFrame, parts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All pairs of each bucket across components that have one side outside of the bucket's largest component.
+
+    parts: node, size, shared and parts of its sets. Members outside of the largest
+    component are dealt to tasks of SALT_ROWS of them, each with a copy of the bucket.
+    """
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    major = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    divided = members.join(major.select("key", F.col("top.component").alias("major")), "key")
-    minor = divided.filter("component != major").select("key", *[F.col(c).alias(f"m_{c}") for c in ("node", "component", "size", "shared")])
+    major = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("split")).filter("split > 1")
+    salts = F.ceil((F.col("n") - F.col("top.n")) / SALT_ROWS).cast("int")
+    divided = members.join(major.select("key", F.col("top.component").alias("major"), salts.alias("salts")), "key").drop("size", "shared").join(parts, "node")
+    minor = divided.filter("component != major").select("key", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), *[F.col(c).alias(f"m_{c}") for c in ("node", "component", "size", "shared", "parts")])
+    whole = divided.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     across = (F.col("component") != F.col("m_component")) & ((F.col("component") == F.col("major")) | (F.col("node") < F.col("m_node")))
-    pairs = divided.join(minor, "key").filter(across & _fit("", "m_", percent))
+    common = F.aggregate(F.zip_with("parts", "m_parts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+    enough = F.when(_fit("", "m_", percent), common * (100 + percent) >= percent * (F.col("size") + F.col("m_size"))).otherwise(F.lit(False))
+    pairs = whole.join(minor, ["key", "salt"]).filter(across & enough)
     return pairs.select(F.least("node", "m_node").alias("a"), F.greatest("node", "m_node").alias("b")).distinct()
 
 
@@ -286,7 +311,8 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     start = usable.select(F.col("doc_id").alias("node")).distinct()
     where = staged(bands.select("node", F.col("node").alias("component")).distinct(), "parents")
     # Sets with too few shared shingles have no link at all; the others carry their numbers along.
-    weights = small(staged(shared_sizes(full).filter(F.col("shared") * 100 >= percent * F.col("size")), "weights"))
+    parts = staged(shared_sizes(full).filter(F.col("shared") * 100 >= percent * F.col("size")), "weights")
+    weights = small(parts.drop("parts"))
 
     def verified(candidates: DataFrame) -> DataFrame:
         one = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("sig_a"))
@@ -297,7 +323,7 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     for step in range(LEADER_ROUNDS + 2):
         source = wide if step == 0 else bands
         members = source.join(weights, "node").join(where, "node")
-        where = components(where, verified(_candidates(members, step, percent) if step <= LEADER_ROUNDS else _remaining(members, percent)))
+        where = components(where, verified(_candidates(members, step, percent) if step <= LEADER_ROUNDS else _remaining(members, parts, percent)))
     # Classes of equal sets join last: they add their members to the components of their representatives.
     whole = staged(start.join(where, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "parents")
     merged = components(whole, equal).withColumnRenamed("node", "doc_id")
