@@ -3,10 +3,16 @@
 Three base patterns give spans. Further spans come from tokens of MIN_TOKEN characters
 and more, whatever characters they hold: two first-order character Markov models, one of
 random strings and one of ordinary identifiers, score each token, and a log-likelihood
-ratio per character above MIN_RATIO marks it. Both are trained on samples that the base
-patterns label: the values inside base spans are the random strings, the words of the
-same documents and their identifiers outside of base spans the ordinary ones. All
-documents with a span contribute.
+ratio per character above the threshold marks it. Both are trained on labelled samples.
+Random: the values inside base spans, and DRAWN digests written in the usual alphabets
+(hexadecimal, base 64, base 36), so that keys of any alphabet are known, not only those
+that the corpus has in base spans. Ordinary: the words of all documents with a span, as
+they stand, in capitals and joined to names, their identifiers outside of base spans, and
+as many decimal numbers and dates as there are digests. The threshold is MIN_RATIO, or what
+all but ORDINARY_SHARE of the long ordinary samples stay below, if that is higher.
+
+Texts are searched for base spans once and staged with them; training reads the staged
+documents that have spans, and scoring reads all of them.
 """
 
 from __future__ import annotations
@@ -14,9 +20,11 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondera.llm.common import staged
+
 # Fixed patterns; the letters of assign count in either case.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "(AKIA[A-Z0-9]+)"
@@ -24,7 +32,11 @@ HEX = "([0-9a-f]+)"
 KINDS = {"assign": (ASSIGN, 6), "access": (ACCESS, 20), "hex": (HEX, 24)}
 
 MIN_TOKEN = 16
-MIN_RATIO = 1.0
+MIN_RATIO = 0.5
+#: Digests of which random samples are written; a parameter of the model, at every size of input.
+DRAWN = 4096
+#: Share of long ordinary samples that may exceed the threshold.
+ORDINARY_SHARE = 0.001
 #: The ASCII characters and one symbol for all others.
 SYMBOLS = 129
 TOKEN = r"([A-Za-z0-9+/_=-]+)"
@@ -80,43 +92,77 @@ def transitions(value: Column) -> Column:
     return F.when(F.length(value) > 1, pairs).otherwise(F.array().cast("array<int>"))
 
 
-def train(found: DataFrame) -> list[float]:
-    """The log-likelihood ratio of each transition, random against ordinary, from all rows of ``found`` (text and _base).
+def drawn(spark: SparkSession, n: int = DRAWN) -> DataFrame:
+    """value and r: ``n`` digests in each of three alphabets (1), and ``n`` numbers and dates (0)."""
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    plain = F.rtrim(F.base64(F.unhex(digest)), F.lit("="))
+    short = F.concat(*[F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 36) for i in range(3)])
+    number = F.conv(F.substring(digest, 1, 15), 16, 10)
+    date = F.concat_ws("-", F.substring(number, 3, 4), F.substring(number, 7, 2), F.substring(number, 9, 2))
+    pairs = [(F.substring(digest, 1, 40), 1), (plain, 1), (short, 1), (number, 0), (date, 0)]
+    return spark.range(n).select(F.inline(F.array(*[F.struct(v.alias("value"), F.lit(r).alias("r")) for v, r in pairs])))
 
-    Counts have one added per possible transition. Without any base span there is
-    nothing to learn from and every ratio is 0. The model has SYMBOLS**2 numbers.
-    """
+
+def samples(found: DataFrame) -> DataFrame:
+    """value and r (1: random, 0: ordinary) from all rows of ``found`` (text and _base) that have a base span, and the drawn ones."""
     marked = found.filter(F.size("_base") > 0)
-    random = marked.select(F.explode("_base.value").alias("value"), F.lit(1).alias("r"))
+    text = F.coalesce("text", F.lit(""))
     outside = lambda t: ~F.exists("_base.value", lambda v: F.contains(t, v) | F.contains(v, t))
-    ordinary = marked.select(F.explode(F.split(F.coalesce("text", F.lit("")), r"[^\p{L}_]+")).alias("value"), F.lit(0).alias("r"))
-    identifiers = F.filter(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(IDENTIFIER), 1), outside)
-    ordinary = ordinary.unionByName(marked.select(F.explode(identifiers).alias("value"), F.lit(0).alias("r")))
-    pairs = random.unionByName(ordinary.filter(F.length("value") > 3)).select("r", F.explode(transitions(F.col("value"))).alias("t"))
+    words = F.filter(F.split(text, r"[^\p{L}_]+"), lambda w: F.length(w) > 3)
+    named = F.filter(F.regexp_extract_all(text, F.lit(IDENTIFIER), 1), lambda w: (F.length(w) > 3) & outside(w))
+    joined = F.transform(F.sequence(F.lit(1), F.size(words), F.lit(3)), lambda i: F.slice(words, i, 3))
+    joined = F.when(F.size(words) > 0, joined).otherwise(F.array().cast("array<array<string>>"))
+    camel = F.transform(joined, lambda x: F.array_join(F.transform(x, F.initcap), ""))
+    snake = F.transform(joined, lambda x: F.lower(F.array_join(x, "_")))
+    one = lambda v, r: F.transform(v, lambda x: F.struct(x.alias("value"), F.lit(r).alias("r")))
+    own = marked.select(F.inline(F.concat(one(F.col("_base.value"), 1), one(words, 0), one(F.transform(words, F.upper), 0), one(camel, 0), one(snake, 0), one(named, 0))))
+    return own.unionByName(drawn(found.sparkSession))
+
+
+class Model:
+    """The log-likelihood ratio of each transition, random against ordinary, and the threshold; SYMBOLS**2 numbers."""
+
+    def __init__(self, ratios: list[float], threshold: float = MIN_RATIO):
+        self.ratios, self.threshold = ratios, threshold
+
+    def ratio(self, value: Column) -> Column:
+        """The mean ratio of a string's transitions; 0 below two characters."""
+        ratios = F.from_json(F.lit(json.dumps(self.ratios)), "array<double>")  # folded into one constant
+        total = F.aggregate(transitions(value), F.lit(0.0), lambda acc, t: acc + F.element_at(ratios, t + 1))
+        return F.when(F.length(value) > 1, total / (F.length(value) - 1)).otherwise(0.0)
+
+
+def train(found: DataFrame) -> Model:
+    """Learn from all rows of ``found`` (text and _base), which is read more than once, so pass a staged table.
+
+    Counts have one added per possible transition. Without ordinary samples nothing can
+    be told apart and every ratio is 0.
+    """
+    known = samples(found)
+    pairs = known.select("r", F.explode(transitions(F.col("value"))).alias("t"))
     rows = pairs.groupBy("t").agg(F.sum("r").alias("random"), F.sum(1 - F.col("r")).alias("ordinary")).collect()  # SYMBOLS**2 at most
     counts = {t: (r, o) for t, r, o in rows}
+    if not any(o for _, o in counts.values()):
+        return Model([0.0] * SYMBOLS**2)
     totals = [[sum(counts.get(a * SYMBOLS + b, (0, 0))[side] for b in range(SYMBOLS)) for a in range(SYMBOLS)] for side in (0, 1)]
-    model = []
+    ratios = []
     for t in range(SYMBOLS**2):
         r, o = counts.get(t, (0, 0))
         rt, ot = totals[0][t // SYMBOLS], totals[1][t // SYMBOLS]
-        model.append(math.log((r + 1) / (rt + SYMBOLS)) - math.log((o + 1) / (ot + SYMBOLS)) if rt and ot else math.log(2.0) * ((rt > 0) - (ot > 0)))
+        ratios.append(math.log((r + 1) / (rt + SYMBOLS)) - math.log((o + 1) / (ot + SYMBOLS)) if rt and ot else math.log(2.0) * ((rt > 0) - (ot > 0)))
+    model = Model(ratios)
+    long = known.filter((F.col("r") == 0) & (F.length("value") >= MIN_TOKEN))
+    high = long.agg(F.percentile_approx(model.ratio(F.col("value")), F.lit(1 - ORDINARY_SHARE), F.lit(10_000))).first()[0]
+    model.threshold = max(MIN_RATIO, high or 0.0)
     return model
 
 
-def with_random(found: DataFrame, model: list[float]) -> DataFrame:
-    """Add _random: long tokens outside of base spans whose mean log-likelihood ratio exceeds MIN_RATIO."""
-    ratios = F.from_json(F.lit(json.dumps(model)), "array<double>")  # folded into one constant
+def with_random(found: DataFrame, model: Model) -> DataFrame:
+    """Add _random: long tokens outside of base spans whose mean log-likelihood ratio exceeds the threshold."""
     d = found.withColumn("_tokens", tokens(F.col("text")))
     clear = lambda s: ~F.exists("_base", lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
-
-    def high(s: Column) -> Column:
-        total = F.aggregate(transitions(s["value"]), F.lit(0.0), lambda acc, t: acc + F.element_at(ratios, t + 1))
-        return total > MIN_RATIO * (F.length(s["value"]) - 1)
-
-    empty = F.array().cast(SPAN)
-    kept = F.filter("_tokens", lambda s: clear(s) & high(s))
-    return d.withColumn("_random", F.when(F.size("_tokens") == 0, empty).otherwise(kept)).drop("_tokens")
+    kept = F.filter("_tokens", lambda s: clear(s) & (model.ratio(s["value"]) > model.threshold))
+    return d.withColumn("_random", F.when(F.size("_tokens") == 0, F.array().cast(SPAN)).otherwise(kept)).drop("_tokens")
 
 
 def listed(spans_: Column) -> Column:
@@ -130,7 +176,7 @@ def scan(docs: DataFrame) -> DataFrame:
     Null and empty texts have none. Rows are scored one by one, so repeats do not
     interact; extra columns are ignored; an empty table gives an empty result.
     """
-    found = with_spans(docs.select("doc_id", "text"))
+    found = staged(with_spans(docs.select("doc_id", "text")), "spans")
     return with_random(found, train(found)).withColumn("_all", F.sort_array(F.concat("_base", "_random"))).select("doc_id", "_base", "_random", "_all")
 
 
@@ -141,8 +187,8 @@ def mask(docs: DataFrame, cover: str = "[SECRET]") -> DataFrame:
     """
     own = docs.columns
     clash = {c: f"_own_{n}" for n, c in enumerate(own) if c != "text"}
-    found = with_spans(docs.withColumnsRenamed(clash))
-    every = with_random(found, train(found.select("text", "_base"))).withColumn("_all", F.sort_array(F.concat("_base", "_random")))
+    found = staged(with_spans(docs.withColumnsRenamed(clash)), "spans")
+    every = with_random(found, train(found)).withColumn("_all", F.sort_array(F.concat("_base", "_random")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
