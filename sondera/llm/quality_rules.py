@@ -2,12 +2,15 @@
 
 Every document gets word, symbol, line and repetition counts. The rates built from them
 are gathered in KLL quantile sketches per language and source, and merged upwards to
-languages and to the whole corpus. A group of under MIN_GROUP documents takes the
-thresholds of its language, or else of the corpus. A rate is rejected when it lies
-beyond the upper quartile by SPREADS times the distance from median to upper quartile,
-or at least by the rate's own least margin, which keeps groups of nearly equal clean
-documents whole. Sketches merge in any order, so partial aggregation does the work and
-a hot source needs no salting; thresholds, one row a group, are joined back.
+languages and to the whole corpus. Of each rate two quantiles count, the median and a
+high one (RULES). A group's quantiles are shrunk towards those of its language, and the
+language's towards the corpus, as if SHRINK documents of the wider group belonged to it;
+so a group of any size has thresholds of its own and none is switched off. A rate is
+rejected beyond the high quantile by FENCE times its distance from the median, or beyond
+the median by the rate's least step, whichever is more; the step matters only where a
+group's documents are all but equal. Sketches merge in any order, so partial aggregation
+does the work and a hot source needs no salting; thresholds, one row a group, are joined
+back.
 """
 
 from __future__ import annotations
@@ -20,12 +23,13 @@ from sondera.llm.common import SPACE_CHARS, WORD_SEPARATOR, small, staged
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-MIN_GROUP = 200
-SPREADS = 6.0
+#: Documents of the wider group that count in a group's quantiles.
+SHRINK = 500
+FENCE = 4.0
 #: Sketch size parameter: ranks within 1.3 % at 99 % confidence.
 SKETCH_K = 200
-#: Least distance of a rejected rate from the median of its group.
-MARGINS = {"symbol_rate": 0.1, "dup_line_rate": 0.5, "repeat_rate": 0.45, "long_word_rate": 8.0}
+#: Of each rate the rank of its high quantile, and the least step from the median to its threshold.
+RULES = {"symbol_rate": (0.75, 0.1), "dup_line_rate": (0.98, 0.2), "repeat_rate": (0.98, 0.2), "long_word_rate": (0.9, 1.0)}
 GROUP = ["lang", "source"]
 
 
@@ -89,39 +93,39 @@ def sketches(rated: DataFrame) -> DataFrame:
     """A sketch of each rate per language and source, over documents that pass the base rules."""
     sound = rated.filter(~base_failed())
     return sound.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(F.col(r).cast("double"), F.lit(SKETCH_K)).alias(r) for r in MARGINS]
+        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(F.col(r).cast("double"), F.lit(SKETCH_K)).alias(r) for r in RULES]
     )
 
 
 def _merged(s: DataFrame, by: list[str]) -> DataFrame:
-    parts = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in MARGINS]]
+    parts = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RULES]]
     return s.groupBy(*by).agg(*parts) if by else s.agg(*parts)
 
 
-def _limits(s: DataFrame, prefix: str) -> list[Column]:
+def _quantiles(s: DataFrame, prefix: str) -> list[Column]:
     out = [F.col("n").alias(f"{prefix}_n")]
-    for rate, margin in MARGINS.items():
-        q = lambda rank, r=rate: F.kll_sketch_get_quantile_double(r, F.lit(rank))
-        out.append((q(0.5) + F.greatest(SPREADS * (q(0.75) - q(0.5)), F.lit(margin))).alias(f"{prefix}_{rate}"))
+    for rate, (rank, _) in RULES.items():
+        q = lambda x, r=rate: F.kll_sketch_get_quantile_double(r, F.lit(x))
+        out += [q(0.5).alias(f"{prefix}_{rate}_mid"), q(rank).alias(f"{prefix}_{rate}_high")]
     return out
 
 
 def thresholds(s: DataFrame) -> DataFrame:
     """_lang, _source and the highest accepted value of each rate, one row per group of the staged sketches ``s``."""
     s = s.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    own = s.select("_lang", "_source", *_limits(s, "own"))
+    own = s.select("_lang", "_source", *_quantiles(s, "own"))
     lang = _merged(s, ["_lang"])
-    lang = lang.select(F.col("_lang").alias("_lang2"), *_limits(lang, "lang"))
+    lang = lang.select(F.col("_lang").alias("_lang2"), *_quantiles(lang, "lang"))
     corpus = _merged(s, []).filter("n is not null")
-    corpus = corpus.select(*_limits(corpus, "corpus")).first() or {}
+    corpus = corpus.select(*_quantiles(corpus, "corpus")).first()
+    if corpus is None:
+        return own.select("_lang", "_source", *[F.lit(None).cast("double").alias(f"max_{r}") for r in RULES])
     joined = own.join(lang, F.col("_lang").eqNullSafe(F.col("_lang2")), "left")
-    limits = [
-        F.when(F.col("own_n") >= MIN_GROUP, F.col(f"own_{r}"))
-        .when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{r}"))
-        .otherwise(F.lit(corpus[f"corpus_{r}"] if corpus else None).cast("double"))
-        .alias(f"max_{r}")
-        for r in MARGINS
-    ]
+    shrunk = lambda prefix, c, wider: (F.col(f"{prefix}_n") * F.col(f"{prefix}_{c}") + SHRINK * wider) / (F.col(f"{prefix}_n") + SHRINK)
+    limits = []
+    for r, (_, step) in RULES.items():
+        mid, high = (shrunk("own", f"{r}_{c}", shrunk("lang", f"{r}_{c}", F.lit(corpus[f"corpus_{r}_{c}"]))) for c in ("mid", "high"))
+        limits.append(F.greatest(high + FENCE * (high - mid), mid + step).alias(f"max_{r}"))
     return joined.select("_lang", "_source", *limits)
 
 
@@ -129,7 +133,7 @@ def judged(rated: DataFrame, limits: DataFrame) -> DataFrame:
     """Add base_failed and kept. A group without thresholds (none of its documents passed the base rules) keeps by the base rules."""
     met = rated.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     within = F.lit(True)
-    for r in MARGINS:
+    for r in RULES:
         within = within & F.coalesce(F.col(r) <= F.col(f"max_{r}"), F.lit(True))
     failed = base_failed()
     return met.withColumn("base_failed", failed).withColumn("kept", ~failed & within)
@@ -152,16 +156,13 @@ def rules(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns only.
 
-    Texts are counted twice, once for thresholds and once for verdicts, which costs less
-    than shuffling them to meet their verdicts. The counts pass through a generator, so
-    that the filter on the verdict does not repeat their expressions.
+    Texts are counted once and staged with their counts; thresholds and verdicts read those.
     """
     own = docs.columns
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_n_lines"]
-    rated = with_rates(staged(with_counts(docs.select("text", *GROUP)).select(*GROUP, *counts), "counts"))
-    limits = small(staged(thresholds(staged(sketches(rated), "sketches")), "thresholds"))
     clash = {c: f"_own_{n}" for n, c in enumerate(own) if c not in ("text", *GROUP)}
     names = docs.withColumnsRenamed(clash)
-    once = with_counts(names).select(*names.columns, F.inline(F.array(F.struct(*counts))))
-    kept = judged(with_rates(once), limits).filter("kept")
+    counted = staged(with_counts(names).select(*names.columns, *counts), "counted")
+    limits = small(staged(thresholds(staged(sketches(with_rates(counted.select(*GROUP, *counts))), "sketches")), "thresholds"))
+    kept = judged(with_rates(counted), limits).filter("kept")
     return kept.select(*[F.col(clash.get(c, c)).alias(c) for c in own])

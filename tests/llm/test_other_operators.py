@@ -106,7 +106,7 @@ def test_pipeline_stages_take_effect(spark):
     good = staged(corpus_pipeline.STAGES[1][1](spark, rules, d), "t")
     assert ids(good) == ids(quality_model.classify(rules, labels).filter("predicted = 1"))
     one = staged(corpus_pipeline.STAGES[2][1](spark, good, d), "t")
-    assert ids(one) == ids(near_dedup.clusters(good).filter("kept"))
+    assert ids(one) == ids(near_dedup.clusters(good, corpus_pipeline.NEAR_PERCENT).filter("kept"))
     safe = staged(corpus_pipeline.STAGES[3][1](spark, one, d), "t")
     assert safe.columns == docs.columns and safe.count() == one.count()
     assert secret_scan.scan(safe).filter("size(_base) > 0").count() == 0

@@ -120,6 +120,36 @@ def test_quality_rule_counts(both):
     assert junk and not any(r.kept for r in junk.values())
 
 
+def test_quality_verdicts_equal_exact_quantiles(spark, documents):
+    """Few enough documents that the sketches hold them all."""
+    from sondera.llm import quality_rules as q
+
+    docs = documents.filter("doc_id % 2 = 0 and lang in ('en', 'de')")
+    rows = [r.asDict() for r in q.with_rates(q.with_counts(docs.select("doc_id", "text", "lang", "source"))).withColumn("bf", q.base_failed()).collect()]
+
+    def quantile(some, rate, rank):
+        values = sorted(r[rate] for r in some)
+        return values[max(0, math.ceil(rank * len(values)) - 1)]
+
+    def shrunk(r, rate, rank):
+        sound = [x for x in rows if not x["bf"]]
+        value = quantile(sound, rate, rank)
+        for some in ([x for x in sound if x["lang"] == r["lang"]], [x for x in sound if (x["lang"], x["source"]) == (r["lang"], r["source"])]):
+            value = (len(some) * quantile(some, rate, rank) + q.SHRINK * value) / (len(some) + q.SHRINK)
+        return value
+
+    want = Counter()
+    for r in rows:
+        kept = not r["bf"]
+        for rate, (rank, step) in q.RULES.items():
+            if kept:
+                mid, high = shrunk(r, rate, 0.5), shrunk(r, rate, rank)
+                kept = r[rate] <= max(high + q.FENCE * (high - mid), mid + step)
+        want[r["doc_id"], kept] += 1
+    assert Counter((r.doc_id, r.kept) for r in q.rules(docs).collect()) == want
+    assert len({k for _, k in want}) == 2
+
+
 def test_quality_rules_keep_their_columns(both, empty):
     from sondera.llm import quality_rules
 
@@ -251,6 +281,40 @@ def test_secret_model_scores_keys_without_digits(spark):
     assert found[2001] == found[2002] == [] == found[5]
 
 
+def test_secret_model_finds_planted_keys_and_leaves_identifiers(spark, documents):
+    import base64
+
+    from pyspark.sql import functions as F
+    from sondera.llm import secret_scan
+
+    keys = [base64.b64encode(hashlib.sha256(f"planted{n}".encode()).digest()).decode()[: 20 + n % 20] for n in range(60)]
+    keys = [k for k in keys if "/" not in k and "+" not in k]
+    names = ["internationalisation", "getElementsByClassName", "LAAITIONELLEELLE", "2024-10-17-report_final", "9807915762804490", "heitenheitungung", "module_name_with_parts"]
+    planted = [(5000 + n, f"some words before {k} and after") for n, k in enumerate(keys)] + [(6000 + n, f"some words before {k} and after") for n, k in enumerate(names)]
+    marked = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" token="), F.substring(F.sha2("text", 256), 1, 30))).otherwise(F.col("text"))
+    docs = documents.select("doc_id", marked.alias("text")).unionByName(spark.createDataFrame(planted, "doc_id long, text string"))
+    found = {r.doc_id: [s.value for s in r._random] for r in secret_scan.scan(docs).collect()}
+    hit = sum(found[5000 + n] == [k] for n, k in enumerate(keys))
+    assert hit >= 0.9 * len(keys) and not any(found[6000 + n] for n in range(len(names)))
+    assert sum(map(len, found.values())) - hit <= 2
+    # The likelihoods by plain counting.
+    spans = secret_scan.with_spans(docs)
+    model = secret_scan.train(spans)
+    tables = [Counter(), Counter()]
+    for value, r in secret_scan.samples(spans).collect():
+        codes = [min(ord(c), 128) for c in value]
+        tables[r].update(zip(codes, codes[1:]))
+    totals = [Counter(), Counter()]
+    for r in (0, 1):
+        for (a, _), n in tables[r].items():
+            totals[r][a] += n
+    for value in [*keys[:5], *names]:
+        codes = [ord(c) for c in value]
+        want = sum(math.log((tables[1][x] + 1) / (totals[1][x[0]] + 129)) - math.log((tables[0][x] + 1) / (totals[0][x[0]] + 129)) for x in zip(codes, codes[1:])) / (len(codes) - 1)
+        got = spark.range(1).select(model.ratio(F.lit(value))).first()[0]
+        assert abs(got - want) < 1e-9 or any(not totals[0][a] or not totals[1][a] for a in codes[:-1])
+
+
 def shingle_set(t):
     words = WORD.findall(ascii_lower(t))
     return frozenset([tuple(words)] if 0 < len(words) < 5 else [tuple(words[i : i + 5]) for i in range(len(words) - 4)])
