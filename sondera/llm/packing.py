@@ -1,8 +1,8 @@
 """Sum-of-squares packing of tokenised documents into fixed-length sequences.
 
 Documents are tokenised where they are read, cut only beyond the capacity, and only
-(doc_id, piece, length) rows are shuffled. Pieces are dealt by hash into groups of
-about GROUP_PIECES, and each group is packed by itself, so a task holds one bounded
+(doc_id, piece, length) rows are shuffled. Pieces are dealt by a hash of their place in
+the staged table, whatever their ids, into groups of about GROUP_PIECES, and each group is packed by itself, so a task holds one bounded
 group and the number of groups follows the input. A group loses a few open bins at
 most, against thousands that it fills.
 
@@ -134,9 +134,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     for i in np.argsort(-lengths, kind="stable").tolist():
         s = int(lengths[i])
         fits = counts[s:]
-        change = counts[: capacity + 1 - s] - fits  # half the change of the sum, less a constant
-        change[0] = -fits[0] - 1  # a filled bin is no longer counted
-        change[fits == 0] = capacity * len(lengths) + 1
+        change = 2 * (counts[: capacity + 1 - s] - fits)  # the change of the sum, less 2
+        change[0] = -2 * fits[0] - 1  # a filled bin is no longer counted
+        change[fits == 0] = 4 * len(lengths) + 4
         gap = s + int(change.argmin())
         if counts[gap]:
             at = open_bins[gap].pop()
@@ -164,7 +164,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
         rows = rows.drop(columns="pack_group")
         return rows.assign(sequence_id=(key[0] << 32) + bins, offset=offsets)
 
-    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInPandas(run, PACKED_SCHEMA)
 
 
@@ -184,8 +184,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
 def sequences(docs: DataFrame, packed: DataFrame, tokenizer_path: str) -> DataFrame:
     """The packed token sequences themselves: sequence_id, length, ids (packed unsigned 32-bit).
 
-    ``docs`` must have unique doc_ids. A sequence is at most the capacity long, so its
-    group is bounded.
+    ``docs`` must have unique doc_ids; documents with a null one are left out. A sequence
+    is at most the capacity long, so its group is bounded.
     """
     spans = tokenised(docs, tokenizer_path).join(packed, "doc_id")
     part = F.expr("substring(ids, cast(4 * start + 1 as int), cast(4 * length as int))")
