@@ -88,8 +88,23 @@ def coarse(value: str) -> str:
 
 
 def _context(text: str, start: int, end: int) -> tuple[str, str, str]:
-    before = text[max(0, start - 120) : start].split()[-2:]
-    after = text[end : end + 60].split()[:1]
+    before, at = [], start  # whole words, however long
+    while len(before) < 2 and at > 0:
+        last = at
+        while last > 0 and text[last - 1].isspace():
+            last -= 1
+        at = last
+        while at > 0 and not text[at - 1].isspace():
+            at -= 1
+        if at < last:
+            before.insert(0, text[at:last])
+    first = end
+    while first < len(text) and text[first].isspace():
+        first += 1
+    stop = first
+    while stop < len(text) and not text[stop].isspace():
+        stop += 1
+    after = [text[first:stop]] if first < stop else []
     clean = lambda w: w.strip(_EDGE).lower()
     two = " ".join(map(clean, before)) if len(before) == 2 else ""
     return two, clean(before[-1]) if before else "", clean(after[0]) if after else ""
