@@ -25,7 +25,7 @@ def _cut_paragraph(paragraph: str, start: int, size: int, overlap: int):
     for sentence in _sentences(paragraph):
         if held and len(held) + len(sentence) > size:
             yield held, start
-            start += max(0, len(held) - overlap)
+            start += len(held) - overlap  # negative after a chunk shorter than the overlap
             held = held[-overlap:] + sentence
         else:
             held += sentence

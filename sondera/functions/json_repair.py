@@ -1,8 +1,8 @@
 """Recovering a JSON object from a model's answer.
 
 Candidates are tried in turn: the answer itself, its cleaned form, its repaired form, and
-the repaired form without its last 120, 240, 480 or 960 characters. The first that
-parses to an object wins.
+the repaired form without its last 120, 240, 480 or 960 characters, repaired again. The
+first that parses to an object wins and is returned without white space between values.
 """
 
 from __future__ import annotations
@@ -18,17 +18,19 @@ from pyspark.sql import functions as F
 GIVEN_UP = (120, 240, 480, 960)
 
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
-_OPEN_FIELD = re.compile(r',?\s*"[^"]*"\s*:\s*("[^"]*)?\Z')
+# What is taken for an unfinished end, removed in this order up to three times.
+UNFINISHED = [re.compile(p) for p in (r',\s*"[^"]*"\s*:\s*[^,\}\]]*$', r'"[^"]*"\s*:\s*[^,\}\]]*$', r",\s*$")]
+ROUNDS = 3
 _COMMA = re.compile(r",\s*([}\]])")
 
 
 def clean(text: str) -> str:
     """Without fences, outside text and trailing commas."""
-    text = re.sub(r"^```(?:json)?\s*|\s*```$", "", text.strip())
+    text = re.sub(r"(?i)^```(?:json)?\s*|\s*```$", "", text.strip())
     first, last = text.find("{"), text.rfind("}")
     if first >= 0 and last > first:
         text = text[first : last + 1]
-    return _COMMA.sub(r"\1", text)
+    return _COMMA.sub(r"\1", text).strip()
 
 
 def _scan(text: str) -> tuple[bool, list[str]]:
@@ -53,27 +55,31 @@ def _scan(text: str) -> tuple[bool, list[str]]:
 
 
 def repair(text: str) -> str:
-    """Without control characters and unfinished fields, cut after the last whole value if a string is open, and closed."""
-    text = _CONTROL.sub("", text)
-    for _ in range(3):
-        shorter = _OPEN_FIELD.sub("", text.rstrip())
-        if shorter == text.rstrip():
+    """Without control characters and unfinished fields, cut after the last whole value if a string is open, and closed.
+
+    A scalar at the very end counts as unfinished, as it may have been cut.
+    """
+    text = _CONTROL.sub("", text.strip())
+    before = None
+    for _ in range(ROUNDS):
+        if text == before:
             break
-        text = shorter
-    if _scan(text)[0]:
-        whole = max(text.rfind(c) for c in "}],")
-        text = text[: whole + 1] if whole > 0 else text
+        before = text
+        for pattern in UNFINISHED:
+            text = pattern.sub("", text)
+    if _scan(text)[0] and (whole := max(text.rfind(c) for c in "}],")) > 0:
+        text = text[: whole + 1]
     quoted, closers = _scan(text)
-    closed = (text + '"' if quoted else text.rstrip().rstrip(",")) + "".join(reversed(closers))
-    return _COMMA.sub(r"\1", closed)
+    return _COMMA.sub(r"\1", text + '"' * quoted + "".join(reversed(closers))).strip()
 
 
 def recover(text: str | None) -> str | None:
-    """The object as canonical JSON, or null."""
+    """The object as compact JSON, or null."""
     if not text:
         return None
     cleaned = clean(text)
-    for candidate in [text, cleaned, repair(cleaned), *[repair(cleaned[:-n]) for n in GIVEN_UP if len(cleaned) > n]]:
+    repaired = repair(cleaned)
+    for candidate in [text, cleaned, repaired, *[repair(repaired[:-n]) for n in GIVEN_UP if len(repaired) > n]]:
         try:
             found = json.loads(candidate)
         except ValueError:
@@ -88,6 +94,6 @@ def _recover_all(text: pd.Series) -> pd.Series:
 
 
 def recovered(text: Column) -> Column:
-    """Well-formed objects pass inside the JVM; only the rest goes through the repair kernel."""
-    fine = F.try_parse_json(text).isNotNull() & text.rlike(r"\A\s*\{")
+    """Well-formed compact objects pass inside the JVM; only the rest goes through the repair kernel."""
+    fine = F.try_parse_json(text).isNotNull() & text.rlike(r"\A\{\S*\z")
     return F.when(fine, text).otherwise(F.pandas_udf(_recover_all, "string")(F.when(~fine, text)))

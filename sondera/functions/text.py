@@ -42,7 +42,7 @@ TERMS = [
 
 # List markers in table cells.
 CHINESE_MARKER = "[一二三四五六七八九十]+[：:.]"
-DIGIT_MARKER = "[0-9]+[.、）]"
+DIGIT_MARKER = r"\p{Nd}+[.、）]"
 
 FULL_WIDTH = "　" + "".join(map(chr, range(0xFF01, 0xFF5F)))
 HALF_WIDTH = " " + "".join(map(chr, range(0x21, 0x7F)))
@@ -142,6 +142,16 @@ def sheet_safe(c: Column | str) -> Column:
     return F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", "")
 
 
+def sheet_name(name: str, taken) -> str:
+    """A sheet name that is not taken: marks that sheets may not have become underscores, and a number follows if needed."""
+    plain = "".join("_" if c in "[]:*?/\\" else c for c in name)[:31] or "_"
+    n, out = 1, plain
+    while out in taken:
+        n += 1
+        out = f"{plain[:27]} ({n})"
+    return out
+
+
 def halves(c: Column | str) -> Column:
     """A text cut in two for a retry: at the middle paragraph, else at the last newline before the middle, else in the middle."""
     c = F.col(c) if isinstance(c, str) else c

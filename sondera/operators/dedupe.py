@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sondera.functions.similarity import indel_ratio, neighbours
+from sondera.functions.similarity import indel_ratio, neighbours, term_cosine_pairs
 from sondera.functions.text import compare_key, exact_key
 from sondera.operators.graph import components
 
@@ -81,6 +81,24 @@ def embedding_pairs(vectors: DataFrame, k: int = EMBEDDING_TOP_K, threshold: flo
     return neighbours(vectors, k, threshold).filter("a < b").withColumnRenamed("cosine", "score")
 
 
+def term_pairs(texts: DataFrame, k: int = EMBEDDING_TOP_K, threshold: float = EMBEDDING_THRESHOLD) -> DataFrame:
+    """Without an embedding model: like embedding_pairs, with term-frequency vectors. texts: id, text.
+
+    Ranks count the pairs at or above the threshold only, which changes no result: all
+    of them come before the others.
+    """
+    found = term_cosine_pairs(texts, threshold)
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    ranked = both.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b")))
+    return ranked.filter((F.col("rank") <= k) & (F.col("a") < F.col("b")) if k > 0 else F.col("a") < F.col("b")).select("a", "b", F.col("cosine").alias("score"))
+
+
+def merged_repairs(*outputs: DataFrame) -> DataFrame:
+    """Questions of a base run and of later repair runs, each text of a chunk once, from the first run that has it. chunk_id, pos, question_text_raw."""
+    runs = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [d.withColumn("_run", F.lit(n)) for n, d in enumerate(outputs)])
+    return keep_first(runs.withColumn("_order", F.struct("_run", "pos")), ["chunk_id"], "question_text_raw", "_order").drop("_run", "_order")
+
+
 def layered(*layers: DataFrame) -> DataFrame:
     """a, b, source: every pair of the layers once, under the first layer that has it."""
     named = [p.select("a", "b", F.lit(n).alias("layer")) for n, p in enumerate(layers)]

@@ -13,10 +13,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Labels fall in rounds: every edge offers each end the other's label, then labels are
     replaced by their own labels, so chains shorten by halves. A round's labels are
-    staged; the driver only asks whether any label changed.
+    staged; the driver only asks whether any label changed. Nodes without an edge take no
+    part in the rounds.
     """
     both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a != b").distinct(), "edges")
-    labels = staged(nodes.select("id", F.col("id").alias("label")).distinct(), "labels")
+    touched = both.select(F.col("a").alias("id")).distinct()
+    labels = staged(nodes.select("id").distinct().join(touched, "id", "left_semi").withColumn("label", F.col("id")), "labels")
     while True:
         offers = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("offer"))
         lower = labels.join(offers.withColumnRenamed("a", "id"), "id", "left").select("id", "label", F.least("label", F.coalesce("offer", "label")).alias("new"))
@@ -25,4 +27,5 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         jumped = staged(jumped, "labels")
         labels = jumped.select("id", "label")
         if jumped.filter("changed").isEmpty():
-            return labels
+            every = nodes.select("id").distinct().join(labels, "id", "left")
+            return every.select("id", F.coalesce("label", "id").alias("label"))

@@ -32,13 +32,13 @@ COMPANY_KEYWORDS = [
 HEADING_COMPANIES = ["阿里|字节|腾讯|美团|快手|百度|网易|小红书|华为|京东|拼多多|B站|小米", "蚂蚁|滴滴|携程|OPPO|VIVO|联想|荣耀|商汤|科大讯飞"]
 
 # Patterns of the input formats.
-BANK_MARK = "(?s)Q[0-9]+[:.：].*?难度"
-QUESTION_START = rf"(?:^|\n)(?:#{{1,4}}{SPACE}*)?(?:Q[0-9]+[:.：]|问题[0-9]+[:.：]|####{SPACE}*Q[0-9]+)"
-QUESTION_TITLE = rf"(?d)(?:Q[0-9]+[:.：]|问题[0-9]+[:.：]){SPACE}*(.+?)(?:\n|\z)"
+BANK_MARK = r"(?s)Q\p{Nd}+[:.：].*?难度"
+QUESTION_START = rf"(?:^|\n)(?:#{{1,4}}{SPACE}*)?(?:Q\p{{Nd}}+[:.：]|问题\p{{Nd}}+[:.：]|####{SPACE}*Q\p{{Nd}}+)"
+QUESTION_TITLE = rf"(?d)(?:Q\p{{Nd}}+[:.：]|问题\p{{Nd}}+[:.：]){SPACE}*(.+?)(?:\n|\z)"
 DIFFICULTY = rf"(?d)\*\*难度\*\*[：:]{SPACE}*(.+?)(?:\n|\z)"
 TAGS = rf"(?d)\*\*标签\*\*[：:]{SPACE}*(.+?)(?:\n|\z)"
-DATES = [rf"(?d)\*\*发布时间\*\*[：:]{SPACE}*(.+?)(?:\n|\z)", rf"(?d)发布时间[：:]{SPACE}*(.+?)(?:\n|\z)", "([0-9]{4}[-/年][0-9]{1,2}[-/月][0-9]{1,2}日?)"]
-DIVE_ITEM = rf"[-*]{SPACE}*\*\*([^*]+)\*\*[:：]?{SPACE}*([0-9]+次)?"
+DATES = [rf"(?d)\*\*发布时间\*\*[：:]{SPACE}*(.+?)(?:\n|\z)", rf"(?d)发布时间[：:]{SPACE}*(.+?)(?:\n|\z)", r"(\p{Nd}{4}[-/年]\p{Nd}{1,2}[-/月]\p{Nd}{1,2}日?)"]
+DIVE_ITEM = rf"[-*]{SPACE}*\*\*([^*]+)\*\*[:：]?{SPACE}*(\p{{Nd}}+次)?"
 CLIP_LINES = [rf"(?d)🔗{SPACE}*原文链接.*?\n", rf"(?d)⏰{SPACE}*剪存时间.*?\n", rf"(?d)✂️{SPACE}*本文档由.*?\n", rf"(?d)💖{SPACE}*更多好物.*?\n"]
 DIRECTORY_PATTERNS = ["^nowcoder_(.+)_suanfa", "^(.+)_suanfa", "^(.+)_algorithm"]
 CONTEXT_CHARS = 500

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sondera.functions.text import sheet_safe, tier, tier_icon
+from sondera.functions.text import sheet_safe, tier
 
 # Labels, limits and file formats of the reports.
 UNKNOWN, OTHER, UNCERTAIN, UNCERTAIN_LABEL = "未知", "其他", "uncertain", "待分类"
 HIGH_FREQUENCY = 5
-TIER_LABELS = {3: "高频🔥🔥🔥", 2: "中频🔥🔥", 1: "低频🔥", 0: "普通"}
+TIER_LABELS = {3: "超高频", 2: "高频", 1: "中频", 0: ""}
 TOP_OVERVIEW, MOST_SHEETS, SHEET_NAME = 50, 20, 31
 
 
@@ -68,50 +68,30 @@ def tier_label(count: str = "member_count"):
     return F.element_at(F.create_map(*[F.lit(x) for kv in TIER_LABELS.items() for x in kv]), t)
 
 
+
+def by_tier() -> list[Column]:
+    """The order of sheet rows: tier, count, question."""
+    return [-tier("出现次数"), -F.col("出现次数"), F.col("问题")]
+
+
+def by_company_and_tier() -> list[Column]:
+    return [F.col("公司"), *by_tier()]
+
+
 def company_sheet(exploded: DataFrame) -> DataFrame:
     """Rows of the company workbook in their order."""
     rows = exploded.select(
-        F.col("company").alias("公司"), sheet_safe("text").alias("问题"), tier_label().alias("频率"), F.col("member_count").alias("出现次数"),
-        F.coalesce("primary_tag", F.lit(OTHER)).alias("知识点"), F.array_join(F.slice("companies", 1, 5), ", ").alias("相关公司"),
-        sheet_safe(F.array_join(F.slice("variants", 1, 3), "; ")).alias("变体"),
+        F.col("company").alias("公司"), sheet_safe("text").alias("问题"), tier_label().alias("高频标记"), F.coalesce("primary_tag", F.lit("")).alias("知识点"),
+        sheet_safe(F.array_join("secondary_tags", ", ")).alias("次级知识点"), F.col("member_count").alias("出现次数"), sheet_safe(F.array_join(F.slice("variants", 1, 3), "; ")).alias("变体"),
     )
-    return rows.orderBy("公司", "频率", F.desc("出现次数"), "问题")
+    return rows.orderBy(*by_company_and_tier())
 
 
 def knowledge_sheet(questions: DataFrame) -> DataFrame:
     """Rows of the topic workbook in their order."""
     rows = questions.select(
-        F.col("category").alias("知识点"), sheet_safe("text").alias("问题"), tier_label().alias("频率"), F.col("member_count").alias("出现次数"),
-        F.col("company_count").alias("公司数"), F.array_join(F.slice("companies", 1, 5), ", ").alias("相关公司"),
-        F.array_join("secondary_tags", ", ").alias("次要标签"), sheet_safe(F.array_join(F.slice("variants", 1, 3), "; ")).alias("变体"),
+        F.col("category").alias("知识点"), sheet_safe("text").alias("问题"), tier_label().alias("高频标记"), F.col("member_count").alias("出现次数"),
+        F.col("company_count").alias("出现公司数"), F.array_join(F.slice("companies", 1, 5), ", ").alias("出现公司"),
+        sheet_safe(F.array_join(F.slice("variants", 1, 3), "; ")).alias("变体"), F.array_join("secondary_tags", ", ").alias("次级知识点"),
     )
-    return rows.orderBy("频率", F.desc("出现次数"), "问题")
-
-
-def group_sheets(sheet: DataFrame, group: str) -> DataFrame:
-    """The first MOST_SHEETS groups of a sheet and their sheet names."""
-    return sheet.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max("出现次数").alias("top")).orderBy(F.desc("top"), group).limit(MOST_SHEETS).withColumn("sheet", F.substring(group, 1, SHEET_NAME))
-
-
-def report_lines(exploded: DataFrame) -> DataFrame:
-    """Lines of the company report with their order keys (o1 .. o5), to be sorted and written as text.
-
-    Companies by question count, tags by name, questions by rank, at most 3 variants that
-    differ from the question.
-    """
-    rows = ranked(with_tag(exploded), ["company", "tag"]).join(company_totals(exploded), "company")
-    key = [(-F.col("questions")).alias("o1"), F.col("company").alias("o2")]
-    tag_name = F.when(F.col("tag") == UNCERTAIN, UNCERTAIN_LABEL).otherwise(F.col("tag"))
-    none = F.lit("")
-    heads = rows.select(*key, none.alias("o3"), F.lit(0).alias("o4"), F.lit(0).alias("o5"), F.concat(F.lit("## "), F.col("company"), F.lit(" ("), F.col("questions").cast("string"), F.lit(" / "), F.col("high_frequency").cast("string"), F.lit(")")).alias("line")).distinct()
-    tag_heads = rows.select(*key, F.col("tag").alias("o3"), F.lit(0).alias("o4"), F.lit(0).alias("o5"), F.concat(F.lit("### "), tag_name).alias("line")).distinct()
-    icon = F.when(F.col("member_count") >= HIGH_FREQUENCY, F.concat(F.lit(" "), tier_icon("member_count"))).otherwise("")
-    items = rows.select(*key, F.col("tag").alias("o3"), F.col("rank").alias("o4"), F.lit(0).alias("o5"), F.concat(F.col("rank").cast("string"), F.lit(". "), F.col("text"), icon).alias("line"))
-    others = F.filter(F.slice("variants", 1, 3), lambda v: v != F.col("text"))
-    variants = rows.select(*key, F.col("tag").alias("o3"), F.col("rank").alias("o4"), F.posexplode(others).alias("p", "v"))
-    variants = variants.select("o1", "o2", "o3", "o4", (F.col("p") + 1).alias("o5"), F.concat(F.lit("   - "), F.col("v")).alias("line"))
-    return heads.unionByName(tag_heads).unionByName(items).unionByName(variants)
-
-
-def write_report(lines: DataFrame, path: str) -> None:
-    lines.orderBy("o1", "o2", "o3", "o4", "o5").select("line").write.mode("overwrite").text(path)
+    return rows.orderBy(*by_tier())

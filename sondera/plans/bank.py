@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sondera.functions.text import compare_key, normalize, strip
 from sondera.operators.providers import classify_keywords
@@ -20,6 +21,10 @@ TOPICS = {
 }
 
 
+#: Variants that a group shows.
+VARIANTS = 10
+
+
 def topic_keywords(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c, w) for c, (_, words) in TOPICS.items() for w in words], "category string, keyword string")
 
@@ -36,15 +41,22 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines grouped by comparison key: label, text, member_count, companies, variants. Equal keys are components already."""
-    q = lines(spark, sf_dir).withColumn("k", compare_key("norm"))
-    return q.groupBy("k").agg(
+    """Lines grouped by comparison key: label, text, member_count, companies, variants. Equal keys are components already.
+
+    Equal lines are counted before they meet by key, and a key gathers its first 10
+    variants and its sources only, so a very common line fills no row.
+    """
+    q = lines(spark, sf_dir).select("qid", "source", "raw", compare_key("norm").alias("k"))
+    each = staged(q.groupBy("k", "raw", "source").agg(F.count(F.lit(1)).alias("n"), F.min("qid").alias("qid")), "lines")
+    whole = each.groupBy("k").agg(
         F.min("qid").alias("label"),
         F.max_by("raw", F.struct(F.length("raw").alias("n"), (-F.col("qid")).alias("o"))).alias("text"),
-        F.count(F.lit(1)).alias("member_count"),
-        F.array_sort(F.collect_set("source")).alias("companies"),
-        F.slice(F.array_sort(F.collect_set("raw")), 1, 10).alias("variants"),
+        F.sum("n").alias("member_count"),
     )
+    first = each.select("k", "raw").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("k").orderBy("raw"))).filter(F.col("_n") <= VARIANTS)
+    variants = first.groupBy("k").agg(F.array_sort(F.collect_list("raw")).alias("variants"))
+    companies = each.select("k", "source").distinct().groupBy("k").agg(F.array_sort(F.collect_list("source")).alias("companies"))
+    return whole.join(companies, "k").join(variants, "k").select("k", "label", "text", "member_count", "companies", "variants")
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:

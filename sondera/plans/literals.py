@@ -33,3 +33,13 @@ ANSWERS = [
     (6, '{"a":1}'),
     (7, "[1, 2]"),
 ]
+TYPED_ANSWERS = [
+    (1, "judgement", '{"is_duplicate": true, "confidence": 0.9}'),
+    (2, "judgement", '{"is_duplicate": true}'),
+    (3, "judgement", '{"is_duplicate": "perhaps", "confidence": 0.9}'),
+    (4, "classification", '{"primary_tag": "norm", "secondary_tags": ["a"]}'),
+    (5, "classification", '{"secondary_tags": ["a"]}'),
+    (6, "extraction", '{"questions": [{"question_text": "BN", "evidence_span": "BN?"}]}'),
+    (7, "extraction", '{"questions": [{"question_text": "BN", "evidence_span": "BN?"}, {"question_text": "LN"}]}'),
+    (8, "extraction", '{"questions": []}'),
+]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sondera.functions import chunk, similarity, text
 from sondera.functions.json_repair import recovered
-from sondera.operators import audit, dedupe, notes, providers, rollup
+from sondera.operators import audit, dedupe, notes, providers, reports, rollup
 from sondera.operators.graph import components
 from sondera.plans import bank, literals
 from sondera.sources.tables import staged, table
@@ -119,11 +119,11 @@ def keep_first_dedupe(spark: SparkSession, sf_dir: str) -> Q:
 
 
 def exact_pairs(spark: SparkSession, sf_dir: str) -> Q:
-    return dedupe.exact_pairs(bank.lines(spark, sf_dir))
+    return dedupe.exact_pairs(staged(bank.lines(spark, sf_dir).select("qid", "raw"), "lines"))
 
 
 def normalized_pairs(spark: SparkSession, sf_dir: str) -> Q:
-    return dedupe.normalized_pairs(bank.lines(spark, sf_dir))
+    return dedupe.normalized_pairs(staged(bank.lines(spark, sf_dir).select("qid", "raw", "norm"), "lines"))
 
 
 def exact_pair_count(spark: SparkSession, sf_dir: str) -> Q:
@@ -151,12 +151,13 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> Q:
 
 
 def candidate_layers(spark: SparkSession, sf_dir: str) -> Q:
-    q = bank.lines(spark, sf_dir)
-    return dedupe.layered(dedupe.exact_pairs(q), dedupe.normalized_pairs(q), fuzzy_pairs(spark, sf_dir), vector_topk(spark, sf_dir))
+    q = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("qid"), F.concat(F.lit("question "), (F.col("vec_id") % 97).cast("string")).alias("raw"), F.lit("").alias("norm"))
+    none = spark.createDataFrame([], "a long, b long")  # the fuzzy layer, which has a query of its own
+    return dedupe.layered(dedupe.exact_pairs(q), dedupe.normalized_pairs(q), none, vector_topk(spark, sf_dir))
 
 
 def fast_path_verdicts(spark: SparkSession, sf_dir: str) -> Q:
-    q = bank.lines(spark, sf_dir)
+    q = staged(bank.lines(spark, sf_dir).select("qid", "raw", "norm"), "lines")
     pairs = dedupe.layered(dedupe.exact_pairs(q), dedupe.normalized_pairs(q))
     return dedupe.fast_verdicts(pairs, q).select("a", "b", "source", "confidence", F.length("hint").cast("long").alias("hint_chars"), "review")
 
@@ -178,7 +179,8 @@ def vector_components(spark: SparkSession, sf_dir: str) -> Q:
 
 def line_components(spark: SparkSession, sf_dir: str) -> Q:
     q = bank.lines(spark, sf_dir)
-    edges = dedupe.equal_stars(q, text.exact_key("raw")).unionByName(dedupe.equal_stars(q, dedupe.comparison(q)))
+    q = staged(q.select("qid", F.xxhash64(text.exact_key("raw")).alias("x"), F.xxhash64(dedupe.comparison(q)).alias("n")), "keys")
+    edges = dedupe.equal_stars(q, F.col("x")).unionByName(dedupe.equal_stars(q, F.col("n")))
     return components(q.select(F.col("qid").alias("id")), edges)
 
 
@@ -222,7 +224,7 @@ def company_tag_rank(spark: SparkSession, sf_dir: str) -> Q:
 
 def company_sheet(spark: SparkSession, sf_dir: str) -> Q:
     rows = rollup.company_sheet(rollup.by_company(bank.tagged(spark, sf_dir)))
-    return rows.toDF("company", "question", "tier", "count", "topic", "companies", "variants")
+    return rows.toDF("company", "question", "tier", "topic", "secondary", "count", "variants")
 
 
 def knowledge_rollup(spark: SparkSession, sf_dir: str) -> Q:
@@ -236,11 +238,102 @@ def knowledge_rank(spark: SparkSession, sf_dir: str) -> Q:
 
 def knowledge_sheet(spark: SparkSession, sf_dir: str) -> Q:
     rows = rollup.with_category(bank.tagged(spark, sf_dir), bank.topic_names(spark))
-    return rollup.knowledge_sheet(rows).toDF("category", "question", "tier", "count", "company_count", "companies", "secondary", "variants")
+    return rollup.knowledge_sheet(rows).toDF("category", "question", "tier", "count", "company_count", "companies", "variants", "secondary")
 
 
 def company_report(spark: SparkSession, sf_dir: str) -> Q:
-    return rollup.report_lines(rollup.by_company(bank.tagged(spark, sf_dir)))
+    return reports.company_report(rollup.by_company(bank.tagged(spark, sf_dir)))
+
+
+def _categories(spark: SparkSession, sf_dir: str) -> Q:
+    return rollup.with_category(bank.tagged(spark, sf_dir), bank.topic_names(spark))
+
+
+def knowledge_report(spark: SparkSession, sf_dir: str) -> Q:
+    return reports.knowledge_report(staged(_categories(spark, sf_dir), "categories"))
+
+
+def category_order(spark: SparkSession, sf_dir: str) -> Q:
+    return reports.category_order(_categories(spark, sf_dir))
+
+
+def company_group_sheets(spark: SparkSession, sf_dir: str) -> Q:
+    sheet = rollup.company_sheet(rollup.by_company(bank.tagged(spark, sf_dir)))
+    return reports.group_sheets(sheet, "公司", rollup.by_company_and_tier()).toDF("company", "place", "sheet")
+
+
+def knowledge_group_sheets(spark: SparkSession, sf_dir: str) -> Q:
+    return reports.group_sheets(rollup.knowledge_sheet(_categories(spark, sf_dir)), "知识点", [*rollup.by_tier(), F.col("知识点")]).toDF("category", "place", "sheet")
+
+
+def _errors(spark: SparkSession, sf_dir: str) -> Q:
+    return audit.histogram(table(spark, sf_dir, "events"), "event_type")
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> Q:
+    records, questions = _audited(spark, sf_dir)
+    found = staged(audit.full(records, table(spark, sf_dir, "conversations"), questions, table(spark, sf_dir, "benchmark")), "audit")
+    return reports.run_report(found, staged(audit.uncovered(records, questions), "uncovered"), _errors(spark, sf_dir))
+
+
+def audit_full(spark: SparkSession, sf_dir: str) -> Q:
+    records, questions = _audited(spark, sf_dir)
+    return audit.full(records, table(spark, sf_dir, "conversations"), questions, table(spark, sf_dir, "benchmark")).withColumn("coverage_rate", F.round("coverage_rate", 6))
+
+
+def uncovered_head(spark: SparkSession, sf_dir: str) -> Q:
+    return audit.uncovered_head(uncovered_records(spark, sf_dir))
+
+
+def ingest_stats(spark: SparkSession, sf_dir: str) -> Q:
+    return audit.ingest_stats(table(spark, sf_dir, "documents").select(F.col("lang").alias("source_type"), F.col("source").alias("company_raw")))
+
+
+def extract_stats(spark: SparkSession, sf_dir: str) -> Q:
+    return audit.extract_stats(table(spark, sf_dir, "conversations"), _audited(spark, sf_dir)[1])
+
+
+def dedupe_stats(spark: SparkSession, sf_dir: str) -> Q:
+    return audit.dedupe_stats(table(spark, sf_dir, "embeddings"), _judged(spark, sf_dir), _canonical(spark, sf_dir))
+
+
+def coverage_pass(spark: SparkSession, sf_dir: str) -> Q:
+    rows = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("chunk_id"), F.col("conv_id").alias("record_id"), F.col("text").alias("chunk_text"))
+    cued = lambda *cues: lambda: providers.Resilient(providers.CueExtractor(cues))
+    none = F.array().cast("array<string>")
+    first = staged(providers.run_provider(rows.withColumn("known", none), "chunk_id", "chunk_text", cued(" the "), known="known"), "first")
+    again = providers.coverage_input(rows, providers.atomic(first.join(rows, "chunk_id"), "first"))
+    found = providers.run_provider(again, "chunk_id", "chunk_text", cued(" that ", " der "), splits=1, known="known")
+    return found.select("chunk_id", F.size("values").cast("long").alias("questions"))
+
+
+def merged_repairs(spark: SparkSession, sf_dir: str) -> Q:
+    base = bank.lines(spark, sf_dir).select(F.col("record_id").alias("chunk_id"), F.col("qid").alias("pos"), F.col("raw").alias("question_text_raw"))
+    again = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("chunk_id"), "turn", F.posexplode(F.split("text", "\n", -1)).alias("p", "question_text_raw"))
+    return dedupe.merged_repairs(base, again.select("chunk_id", (F.col("turn") * 1_000_000 + F.col("p")).alias("pos"), "question_text_raw"))
+
+
+def _files(spark: SparkSession) -> Q:
+    return _rows(spark, literals.FILES, "id long, path string, content string")
+
+
+def standard_body(spark: SparkSession, sf_dir: str) -> Q:
+    return _files(spark).select("id", notes.standard_body(F.col("content")).alias("body"))
+
+
+def bank_split(spark: SparkSession, sf_dir: str) -> Q:
+    return _files(spark).select("id", F.posexplode(notes.bank_blocks(F.col("content"))).alias("n", "block")).select("id", F.col("n").cast("long").alias("n"), "block")
+
+
+def deep_dive_split(spark: SparkSession, sf_dir: str) -> Q:
+    found = notes.parse_deep_dive(_files(spark).withColumn("path", F.col("id").cast("string")))
+    return found.select(F.col("path").cast("long").alias("id"), "section", F.col("source_title").alias("title"), "frequency")
+
+
+def json_validate(spark: SparkSession, sf_dir: str) -> Q:
+    rows = _rows(spark, literals.TYPED_ANSWERS, "id long, kind string, answer string")
+    valid = F.coalesce(*[F.when(F.col("kind") == kind, providers.validated(F.col("answer"), kind).isNotNull()) for kind in providers.ANSWERS])
+    return rows.select("id", valid.alias("valid"))
 
 
 def _audited(spark: SparkSession, sf_dir: str) -> tuple[Q, Q]:
@@ -278,6 +371,7 @@ def queries() -> dict:
         status_histogram, keep_first_dedupe, exact_pairs, normalized_pairs, exact_pair_count, fuzzy_pairs, tf_cosine_pairs, vector_topk, candidate_layers,
         fast_path_verdicts, review_band, vector_components, line_components, canonical, review_queue, keyword_classify, tag_stats, company_rollup,
         company_tag_rank, company_sheet, knowledge_rollup, knowledge_rank, knowledge_sheet, company_report, coverage_audit, uncovered_records,
-        json_recover, json_repair, excel_sanitize,
+        json_recover, json_repair, excel_sanitize, knowledge_report, category_order, company_group_sheets, knowledge_group_sheets, run_report, audit_full,
+        uncovered_head, ingest_stats, extract_stats, dedupe_stats, coverage_pass, merged_repairs, standard_body, bank_split, deep_dive_split, json_validate,
     ]
     return {f.__name__: f for f in named}

@@ -173,3 +173,45 @@ def test_provider_policy():
     values, name, status = providers.with_splits(providers.Resilient(Short()), "abc " * 300 + "\n\n" + "def " * 300)
     assert (values, name, status) == (["abc", "def"], "short", "split")
     assert providers.with_splits(providers.Resilient(Broken()), "short") == ([], "", "refused")
+
+
+def test_chunk_after_a_short_sentence_starts_before_zero():
+    text = "a" * 50 + "." + "b" * 3000 + "." + "c" * 200
+    found = chunk.fold(text, 3000, 300)
+    assert [(s, e) for _, s, e in found][:2] == [(0, 51), (51 - 300, 51 - 300 + 51 + 3001)]
+
+
+@pytest.mark.parametrize("answer, want", [('{"a": 1, "b": 12', "{}"), ('{"a": 1, "b": tru', "{}"), ('{"a": [1, 2], "b": "x', '{"a":[1,2]}'), ('```JSON\n{"a": [1,],}\n```', '{"a":[1]}'), ('{"a": {"b": [1]', '{"a":{"b":[1]}}')])
+def test_recover_never_returns_a_cut_scalar(answer, want):
+    assert json_repair.recover(answer) == want
+
+
+def test_full_width_digits_are_digits(spark):
+    from pyspark.sql import functions as F
+    from sondera.operators import notes, providers
+
+    row = spark.range(1).select(
+        notes.detect_format(F.lit("Q１：什么\n**难度**")).alias("f"), F.size(notes.bank_blocks(F.lit("Q１：甲\nQ2：乙"))).alias("n"),
+        providers.looks_like_question(F.lit("１. 讲")).alias("q"), text.clean_csv_text(F.lit("x １. 甲 ２. 乙")).alias("c"),
+    ).first()
+    assert (row.f, row.n, row.q, row.c) == ("knowledge_base", 2, True, "１.甲\n２.乙")
+
+
+def test_resilient_waits_and_passes_known_questions():
+    from sondera.operators import providers
+
+    class Late:
+        name = "late"
+
+        def __init__(self):
+            self.n = 0
+
+        def __call__(self, text, known):
+            self.n += 1
+            if self.n < 3:
+                raise ValueError
+            return [text, *known]
+
+    call = providers.Resilient(Late(), delay=0.001)
+    assert providers.with_splits(call, "x", known=["k"]) == (["x", "k"], "late", "ok")
+    assert providers.relevant_to(["abc", "zzz"], "xabcx") == ["abc"] and providers.relevant_to(["q"], "x") == ["q"]

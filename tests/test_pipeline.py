@@ -10,7 +10,8 @@ from sondera.sources import files
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-CHECKED = ["flagship_frequency", "normalize_text", "clean_html", "company_from_dir", "sentence_split", "exact_pairs", "vector_topk", "canonical", "review_queue", "knowledge_sheet", "coverage_audit", "json_recover"]
+CHECKED = ["flagship_frequency", "normalize_text", "clean_html", "company_from_dir", "sentence_split", "exact_pairs", "vector_topk", "canonical", "review_queue", "knowledge_sheet", "coverage_audit", "json_recover", "json_repair", "chunk_fold", "company_report", "knowledge_report", "run_report",
+           "vector_components", "standard_body", "bank_split", "deep_dive_split", "json_validate", "merged_repairs", "coverage_pass", "candidate_layers"]
 
 
 @pytest.fixture(scope="module")
@@ -61,4 +62,56 @@ def test_run_all(spark, tmp_path):
     texts = {r.text: r.member_count for r in out["classified"].collect()}
     assert any(n >= 2 for n in texts.values())
     assert {c for r in out["classified"].collect() for c in r.companies} >= {"acme", "字节"}
-    assert (tmp_path / "out" / "company_report").exists() and (tmp_path / "out" / "coverage_audit").exists()
+    text = lambda name: "\n".join(p.read_text() for p in sorted((tmp_path / "out" / name).glob("part-*")))
+    assert "## acme" in text("company_summary.md") and "## 目录" in text("knowledge_summary.md") and "| 原始面经记录 | 3 |" in text("run_report.md")
+    book = files.read_workbook((tmp_path / "out" / "company_summary.xlsx").read_bytes())
+    assert book.columns.tolist() == ["公司", "问题", "高频标记", "知识点", "次级知识点", "出现次数", "变体"] and set(book["公司"]) >= {"acme", "字节"}
+    found = out["audit"].first()
+    assert (found.total_records, found.total_chunks) == (3, 3) and found.total_questions == out["questions"].count()
+    assert {r.extract_pass for r in out["questions"].collect()} <= {"first", "coverage"}
+
+
+def test_commands_one_by_one(spark, tmp_path):
+    notes = tmp_path / "in" / "acme_suanfa"
+    notes.mkdir(parents=True)
+    for n in range(4):
+        (notes / f"{n}.md").write_text(f"# 标题\n什么是BN{n}?\n那么为什么需要它\n讲一下LN\n", encoding="utf-8")
+    out = str(tmp_path / "out")
+    pipeline.main(["ingest", "-i", str(tmp_path / "in"), "-o", out, "-n", "3"])
+    for command in pipeline.COMMANDS[1:8]:
+        pipeline.main([command, "-o", out, *(["--chunk-size", "500", "--overlap", "50"] if command == "chunk" else []), *(["-n", "2"] if command == "extract" else [])])
+    run = pipeline.Run(spark, pipeline.Config(folder=out))
+    assert run.read("interviews_raw").count() == 3
+    questions = run.read("atomic_questions").collect()
+    assert len({q.chunk_id for q in questions}) == 2 and {q.extract_pass for q in questions} == {"first", "coverage"}
+    assert all(q.char_end - q.char_start == len(q.question_text_raw) for q in questions)
+    assert spark.read.json(f"{out}/dedupe_stats.jsonl").first().total_questions == len(questions)
+    sample = pipeline.run_sample(spark, pipeline.Config(folder=str(tmp_path / "sample")), str(tmp_path / "in"), 1)
+    assert sample["records"].count() == 1
+
+
+def test_providers_of_models(spark, tmp_path):
+    notes = tmp_path / "in" / "acme_suanfa"
+    notes.mkdir(parents=True)
+    (notes / "a.md").write_text("# 标题\n什么是归一化?\n归一化是什么?\n什么是注意力?\n坏题?\n", encoding="utf-8")
+
+    def judge(a, b):
+        if "坏" in a + b:
+            raise ValueError
+        return ("归一化" in a and "归一化" in b), 0.9, "归一化"
+
+    def encode(texts):
+        return [[1.0, 0.1 * len(t)] for t in texts]
+
+    def tag(t):
+        if "坏" in t:
+            raise ValueError
+        return "norm", ["x"]
+
+    models = pipeline.Providers(coverage=None, judge=lambda: judge, embed=lambda: encode, classify=lambda: tag)
+    run = pipeline.Run(spark, pipeline.Config(folder=str(tmp_path / "out"), threshold=0.5), models)
+    out = run.all(str(tmp_path / "in"))
+    assert {r.text for r in out["canonical"].collect()} >= {"归一化"} or out["review"].count() > 0
+    assert out["review"].filter("text like '坏%'").count() == 1
+    run.models.classify = lambda: tag
+    assert {r.primary_tag for r in run.classify().collect()} <= {"norm", "uncertain"}

@@ -35,7 +35,7 @@ def test_company_report_has_every_question(spark):
     from sondera.plans.queries import queries
 
     rows = rollup.by_company(bank.tagged(spark, SF)).collect()
-    lines = queries()["company_report"](spark, SF).filter("o4 > 0 and o5 = 0").collect()
+    lines = queries()["company_report"](spark, SF).filter("o4 > 0 and line_no = 0").collect()
     assert any(r.member_count < 5 for r in rows)
     assert Counter(r.company for r in rows) == Counter(r.o2 for r in lines)
 
