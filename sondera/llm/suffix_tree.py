@@ -1,19 +1,25 @@
 """A probabilistic suffix tree over words, trained on and scoring whole documents.
 
-Words are counted over all training documents. Contexts grow from the left: a context of
-d words is a candidate if its empirical probability is at least CONTEXT_SHARE, so there
-are at most 1 / CONTEXT_SHARE of each length; its next symbols are kept from EDGE_SHARE
-on, so there are at most 1 / EDGE_SHARE edges of each length. Both are shares of the
-corpus, not counts, and so bound the tree for a corpus of any size; they are what makes
-its broadcast safe. A candidate is retained if its next-symbol distribution diverges
-from that of its longest retained suffix by more than it costs to store.
+Words are counted over all training documents. A context is a candidate from a least
+count on, its next symbols are kept from another one on. Both counts are a constant times
+N**0.6 for N training tokens, at every size of the corpus, so the tree grows with the
+corpus: contexts, edges and dictionary each with N**0.4 at most. That growth is what
+lets the tree be broadcast: ten thousand times the corpus gives forty times the tree.
+
+Contexts of d words are looked at if that of the d - 1 words before their last one and
+that of their last d - 1 words are candidates, and if the latter has more than one next
+symbol; below a context that always goes on alike nothing can diverge. A candidate is
+retained if its next-symbol distribution diverges from that of its longest retained
+suffix by more than it costs to store. Growth ends when no candidate is left, or at
+MAX_DEPTH words, each of which costs a pass over the token numbers.
 
 Smoothing is by absolute discounting: P(x | s) = (c(s, x) - DISCOUNT) / c(s) for kept
 edges, plus the rest of the mass times P(x | longest retained suffix of s). The root has
 word frequencies, less a Good-Turing share for words never seen, which are one symbol.
 
-The most frequent words, at most DICTIONARY of them, are looked up where texts are read.
-The other words of a document, whose probability only the root can give, are counted by
+Texts are cut into words twice, for the counts and for the token numbers, which are
+staged and which all later passes read. The dictionary holds the most frequent words. The
+other words of a document, whose probability only the root can give, are counted by
 document and joined with the vocabulary table; contexts that hold them do not exist.
 """
 
@@ -22,7 +28,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +37,16 @@ from pyspark.sql import functions as F
 
 from sondera.llm.common import byte_words, staged
 
-MAX_DEPTH = 2
-CONTEXT_SHARE = 2e-5
-EDGE_SHARE = 1e-6
+#: A parameter of the model, not of the data; each further word costs a pass.
+MAX_DEPTH = 4
+#: Least counts are these times N**GROWTH, at least 2; the dictionary has up to WORDS times N**(1 - GROWTH) words.
+GROWTH = 0.6
+CONTEXT_COUNT = 1e-2
+EDGE_COUNT = 5e-4
+WORDS = 150
 DISCOUNT = 0.75
 #: Nats that an edge of a retained context must earn over the corpus.
 EDGE_COST = 4.0
-#: Words looked up without a join; about 60 bytes of memory each in a worker.
-DICTIONARY = 1 << 18
 FLUSH = 1_000_000
 
 
@@ -74,14 +82,14 @@ class Tree:
         self.ends, self.total, self.distinct = ends, total, distinct
         self.token = ""
         self.unseen = (singles + 1) / (total + 2)
-        least = max(2.0, EDGE_SHARE * total)
-        self.n_next = int((counts >= least).sum())
-        self.n_context = int((counts >= max(2.0, CONTEXT_SHARE * total)).sum())
-        self.least_edge, self.least_context = least, max(2.0, CONTEXT_SHARE * total)
+        self.least_edge, self.least_context = (max(2.0, x * max(1, total) ** GROWTH) for x in (EDGE_COUNT, CONTEXT_COUNT))
+        self.n_next = int((counts >= self.least_edge).sum())
+        self.n_context = int((counts >= self.least_context).sum())
         self.contexts: list[np.ndarray] = []  # candidates of each depth as parent number * n_context + last word
         self.totals: list[np.ndarray] = []
         self.suffix: list[np.ndarray] = []  # of each candidate, that of one word less (-1: the root)
         self.retained: list[np.ndarray] = []
+        self.divided: list[np.ndarray] = []  # whether a candidate has more than one next symbol
         self.mass: list[np.ndarray] = []
         self.edge_keys: list[np.ndarray] = []
         self.edge_values: list[np.ndarray] = []
@@ -123,14 +131,17 @@ class Tree:
             self.suffix.append(np.full(self.n_context, -1))
             return
         context, symbol = self.raw_keys // self.symbols, self.raw_keys % self.symbols
-        deeper = (symbol < self.n_context) & (self.raw_counts >= self.least_context)
-        self.contexts.append(context[deeper] * self.n_context + symbol[deeper])
-        self.totals.append(self.raw_counts[deeper].astype(np.float64))
+        frequent = (symbol < self.n_context) & (self.raw_counts >= self.least_context)
+        context, symbol, counts = context[frequent], symbol[frequent], self.raw_counts[frequent]
         if d == 1:
-            self.suffix.append(symbol[deeper])
-        else:
-            # The suffix of (p, x) is (suffix of p, x), a candidate because it is at least as frequent.
-            self.suffix.append(_find(self.contexts[d - 1], self.suffix[d - 1][context[deeper]] * self.n_context + symbol[deeper]))
+            suffix = symbol
+        else:  # the suffix of (p, x) is (suffix of p, x)
+            suffix = _find(self.contexts[d - 1], self.suffix[d - 1][context] * self.n_context + symbol)
+        use = suffix >= 0
+        use[use] = self.divided[d - 1][suffix[use]]
+        self.contexts.append(context[use] * self.n_context + symbol[use])
+        self.totals.append(counts[use].astype(np.float64))
+        self.suffix.append(suffix[use])
 
     def learn(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Fit the candidates of the last depth to their edges (context number * symbols + next symbol, sorted)."""
@@ -145,6 +156,7 @@ class Tree:
         rest_shorter = np.maximum(1e-12, 1.0 - np.bincount(context, shorter, size))
         divergence = np.bincount(context, direct * np.log(direct / np.maximum(shorter, 1e-300)), size) + rest * np.log(rest / rest_shorter)
         edges = np.bincount(context, minlength=size)
+        self.divided.append(np.bincount(context, counts == total[context], size) == 0)
         self.retained.append((edges > 0) & (total * divergence > EDGE_COST * (edges + 1)))
         value = (counts - DISCOUNT) / total[context]
         mass = 1.0 - np.bincount(context, value, size)
@@ -202,20 +214,41 @@ def _broadcast(spark: SparkSession, tree: Tree):
     return spark.sparkContext.broadcast(tree)
 
 
-def _documents(texts: list[str | None], tree: Tree, number: dict[bytes, int]):
-    """Token numbers of all texts end to end, where documents begin, and the words not in the dictionary of each."""
-    parts, others = [], []
-    for text in texts:
-        words = byte_words(text)
-        ids = np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words))
-        others.append([words[i] for i in np.flatnonzero(ids < 0).tolist()])
-        parts.append(np.append(ids, len(tree.words)))
+NUMBERED_SCHEMA = "doc_id long, held_out boolean, ids binary, others array<struct<word:binary,tf:bigint>>"
+
+
+def numbered(docs: DataFrame, tree: Tree) -> DataFrame:
+    """doc_id, whether held out, the token numbers (packed 32-bit; -1: not in the dictionary; the end last) and the other words of every row."""
+    from sondera.llm.bpe import blocks
+
+    shared = _broadcast(docs.sparkSession, tree)
+    other = pa.struct([("word", pa.binary()), ("tf", pa.int64())])
+
+    def run(batches):
+        for b in blocks(batches):
+            tree, number = _load(shared)
+            end = len(tree.words)
+            ids, others = [], []
+            for text in b.column(2).to_pylist():
+                words = byte_words(text)
+                n = np.fromiter(chain(map(number.get, words, repeat(-1)), (end,)), np.int32, len(words) + 1)
+                ids.append(n.tobytes())
+                rare = Counter([words[i] for i in np.flatnonzero(n < 0).tolist()])
+                others.append([{"word": w, "tf": k} for w, k in rare.items()])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary()), pa.array(others, pa.list_(other))], names=["doc_id", "held_out", "ids", "others"])
+
+    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, NUMBERED_SCHEMA)
+
+
+def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers of all documents end to end, and where documents begin."""
+    parts = [np.frombuffer(x, np.int32) for x in column.to_pylist()]
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.concatenate(parts), np.cumsum(lengths) - lengths, others
+    return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64), np.cumsum(lengths) - lengths
 
 
-def edge_counts(docs: DataFrame, shared, depth: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent edges of all candidates of ``depth`` words, sorted; at most 1 / EDGE_SHARE of them."""
+def edge_counts(rows: DataFrame, shared, depth: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent edges of all candidates of ``depth`` words, sorted. rows: ids."""
     from sondera.llm.bpe import blocks
 
     def run(batches):
@@ -225,9 +258,9 @@ def edge_counts(docs: DataFrame, shared, depth: int, least: float) -> tuple[np.n
             k, at = np.unique(np.concatenate(keys), return_inverse=True)
             return k, np.bincount(at, np.concatenate(counts)).astype(np.int64)
 
-        for b in blocks(batches):
-            tree, number = _load(shared)
-            ids, first, _ = _documents(b.column(0).to_pylist(), tree, number)
+        for b in blocks(batches, "ids"):
+            tree, _ = _load(shared)
+            ids, first = _joined(b.column(0))
             state, symbol = tree.states(ids, first, depth)[-1], tree.symbol(ids)
             use = (state >= 0) & (symbol >= 0)
             k, c = np.unique(state[use] * tree.symbols + symbol[use], return_counts=True)
@@ -244,15 +277,15 @@ def edge_counts(docs: DataFrame, shared, depth: int, least: float) -> tuple[np.n
             k, c = merged()
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["edge", "c"])
 
-    found = docs.select("text").mapInArrow(run, "edge long, c long").groupBy("edge").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
-    rows = found.toArrow()
-    keys, counts = rows.column("edge").to_numpy(), rows.column("c").to_numpy()
+    found = rows.select("ids").mapInArrow(run, "edge long, c long").groupBy("edge").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
+    table = found.toArrow()
+    keys, counts = table.column("edge").to_numpy(), table.column("c").to_numpy()
     order = np.argsort(keys)
     return keys[order], counts[order]
 
 
-def train(docs: DataFrame, max_depth: int = MAX_DEPTH) -> tuple[Tree, DataFrame]:
-    """The tree learned from all rows of ``docs``, and the staged vocabulary (word, c)."""
+def prepared(docs: DataFrame) -> tuple[Tree, DataFrame]:
+    """The tree without contexts of all rows of ``docs``, and the staged vocabulary (word, c)."""
     vocabulary = staged(word_counts(docs), "vocabulary")
     ends = docs.count()
     level = F.floor(F.log2("c") * 8).cast("int")
@@ -262,38 +295,47 @@ def train(docs: DataFrame, max_depth: int = MAX_DEPTH) -> tuple[Tree, DataFrame]
     cut, held = math.inf, 0
     for r in sorted(levels, key=lambda r: -r.level):
         held += r.n
-        if held > DICTIONARY:
+        if held > WORDS * max(1, total) ** (1 - GROWTH):
             break
         cut = r.least
     top = vocabulary.filter(F.col("c") >= cut).toArrow() if cut < math.inf else vocabulary.limit(0).toArrow()
     words, counts = top.column("word").to_pylist(), top.column("c").to_numpy()
     order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
-    tree = Tree([words[i] for i in order], counts[order].astype(np.int64) if order else np.zeros(0, np.int64), ends, total, distinct, sum(r.single for r in levels))
+    return Tree([words[i] for i in order], counts[order].astype(np.int64) if order else np.zeros(0, np.int64), ends, total, distinct, sum(r.single for r in levels)), vocabulary
+
+
+def grow(tree: Tree, rows: DataFrame, max_depth: int = MAX_DEPTH) -> Tree:
+    """Add the contexts learned from staged token numbers (ids)."""
     for depth in range(1, max_depth + 1):
         tree.candidates()
         if not len(tree.contexts[-1]):
             for part in (tree.contexts, tree.totals, tree.suffix):
                 part.pop()
             break
-        shared = _broadcast(docs.sparkSession, tree)
-        tree.learn(*edge_counts(docs, shared, depth, tree.least_edge))
+        shared = _broadcast(rows.sparkSession, tree)
+        tree.learn(*edge_counts(rows, shared, depth, tree.least_edge))
         shared.unpersist()
-    return tree, vocabulary
+    return tree
+
+
+def train(docs: DataFrame, max_depth: int = MAX_DEPTH) -> tuple[Tree, DataFrame]:
+    """The tree learned from all rows of ``docs``, and the staged vocabulary (word, c)."""
+    tree, vocabulary = prepared(docs)
+    return grow(tree, staged(numbered(docs, tree), "numbered"), max_depth), vocabulary
 
 
-def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
+def score(rows: DataFrame, tree: Tree, vocabulary: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of staged token numbers."""
     from sondera.llm.bpe import blocks
 
-    shared = _broadcast(docs.sparkSession, tree)
+    shared = _broadcast(rows.sparkSession, tree)
     total, distinct = tree.total, tree.distinct
-    other = pa.struct([("word", pa.binary()), ("tf", pa.int64())])
 
     def run(batches):
-        names = ["doc_id", "n_tokens", "n_known", "base_score", "score", "others"]
-        for b in blocks(batches):
-            tree, number = _load(shared)
-            ids, first, others = _documents(b.column(1).to_pylist(), tree, number)
+        names = ["row", "n_tokens", "n_known", "base_score", "score"]
+        for b in blocks(batches, "ids"):
+            tree, _ = _load(shared)
+            ids, first = _joined(b.column(1))
             known = ids >= 0
             counts = np.append(tree.counts, tree.ends)
             base = np.where(known, np.log10((counts[ids] + 1) / (total + distinct + 1)), 0.0)
@@ -303,13 +345,11 @@ def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame) -> DataFrame:
             p = np.where(known & ~seen, 1.0, p)  # without training rows the end has no probability of its own
             columns = [np.add.reduceat(x, first) if len(first) else x for x in (seen.astype(np.int64), base, np.log10(p))]
             lengths = np.diff(np.append(first, len(ids)))
-            rare = [[{"word": w, "tf": n} for w, n in Counter(o).items()] for o in others]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lengths), *map(pa.array, columns), pa.array(rare, pa.list_(other))], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lengths), *map(pa.array, columns)], names=names)
 
-    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double, others array<struct<word:binary,tf:bigint>>"
-    read = docs.select("doc_id", "text").mapInArrow(run, schema)
-    rows = staged(read.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = rows.select("row", F.explode("others").alias("o")).select("row", "o.*").join(vocabulary, "word", "left")
+    numbers = rows.withColumn("row", F.monotonically_increasing_id())
+    scored = numbers.select("row", "ids").mapInArrow(run, "row long, n_tokens long, n_known long, base_score double, score double")
+    rare = numbers.select("row", F.explode("others").alias("o")).select("row", "o.*").join(vocabulary, "word", "left")
     c = F.coalesce("c", F.lit(0))
     root = F.when(F.col("c").isNotNull(), c * (1.0 - tree.unseen) / max(1, total)).otherwise(F.lit(tree.unseen))
     sums = rare.groupBy("row").agg(
@@ -318,8 +358,8 @@ def score(docs: DataFrame, tree: Tree, vocabulary: DataFrame) -> DataFrame:
         F.sum(F.col("tf") * F.log10(root)).alias("s"),
     )
     add = lambda a, b: (F.col(a) + F.coalesce(F.col(b), F.lit(0))).alias(a)
-    return rows.drop("others").join(sums, "row", "left").select(
-        "doc_id", held_out().alias("held_out"), "n_tokens", add("n_known", "k"), F.lit(total).cast("long").alias("train_tokens"), add("base_score", "b"), add("score", "s")
+    return numbers.select("row", "doc_id", "held_out").join(scored, "row").join(sums, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", add("n_known", "k"), F.lit(total).cast("long").alias("train_tokens"), add("base_score", "b"), add("score", "s")
     )
 
 
@@ -331,5 +371,6 @@ def train_and_score(docs: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     training rows every token has probability 1 at the root but the same base formula
     holds; an empty table gives an empty result.
     """
-    tree, vocabulary = train(docs.filter(~held_out()), max_depth)
-    return score(docs, tree, vocabulary)
+    tree, vocabulary = prepared(docs.filter(~held_out()))
+    rows = staged(numbered(docs, tree), "numbered")
+    return score(rows, grow(tree, rows.filter("not held_out"), max_depth), vocabulary)

@@ -547,6 +547,93 @@ def test_suffix_tree_distributions_sum_to_one(spark):
             assert abs(p.sum() + unseen - 1.0) < 1e-9
 
 
+def plain_suffix_tree(docs, tree):
+    """log10 probabilities of whole texts by dictionaries, with the tree's least counts and parameters."""
+    from sondera.llm import suffix_tree as st
+
+    words = {w: n for n, w in enumerate(tree.words)}
+    train = [[words.get(w.encode(), -1) for w in ws] + [len(words)] for i, ws, held in docs if not held]
+    grams = [Counter() for _ in range(st.MAX_DEPTH + 2)]  # of context and next symbol
+    for ids in train:
+        for at in range(len(ids)):
+            for d in range(min(at, st.MAX_DEPTH) + 1):
+                gram = tuple(ids[at - d : at + 1])
+                if all(0 <= x < tree.n_context for x in gram[:-1]):
+                    grams[d][gram] += 1
+    follows = lambda x: x == len(words) or 0 <= x < tree.n_next
+    root = lambda x: (1 - tree.unseen) * ([*tree.counts, tree.ends][x]) / tree.total
+    known, edges = {}, {}  # totals of candidates; their kept edges
+    for x in range(tree.n_context):
+        known[(x,)] = float(tree.counts[x])
+    retained, divided = set(), set()
+
+    def probability(context, x):
+        while context and context not in retained:
+            context = context[1:]
+        if not context:
+            return root(x) if x >= 0 else 1.0
+        own = edges[context]
+        left = 1 - sum((n - st.DISCOUNT) / known[context] for n in own.values())
+        return ((own[x] - st.DISCOUNT) / known[context] if x in own else 0.0) + left * probability(context[1:], x)
+
+    level = list(known)
+    for d in range(1, st.MAX_DEPTH + 1):
+        for c in level:
+            edges[c] = {}
+        for gram, n in grams[d].items():
+            if gram[:-1] in edges and follows(gram[-1]) and n >= tree.least_edge:
+                edges[gram[:-1]][gram[-1]] = n
+        for c in level:
+            own = edges[c]
+            if not any(n == known[c] for n in own.values()):
+                divided.add(c)
+            shorter = {x: probability(c[1:], x) for x in own}
+            rest = max(1e-12, 1 - sum(own.values()) / known[c])
+            rest_shorter = max(1e-12, 1 - sum(shorter.values()))
+            kl = sum(n / known[c] * math.log(n / known[c] / shorter[x]) for x, n in own.items()) + rest * math.log(rest / rest_shorter)
+            if own and known[c] * kl > st.EDGE_COST * (len(own) + 1):
+                retained.add(c)
+        level = [g for c in level for g in [(*c, x) for x in edges[c]] if g[-1] < tree.n_context and edges[c][g[-1]] >= tree.least_context and g[1:] in known and g[1:] in divided]
+        known.update({g: float(edges[g[:-1]][g[-1]]) for g in level})
+    out = []
+    for i, ws, _ in docs:
+        ids = [words.get(w.encode(), -1) for w in ws] + [len(words)]
+        total = 0.0
+        for at, x in enumerate(ids):
+            context = tuple(ids[max(0, at - st.MAX_DEPTH) : at])
+            while context and context not in known:
+                context = context[1:]
+            total += math.log10(probability(context, x)) if x >= 0 else math.log10(probability(context, x) * tree.unseen)
+        out.append((i, round(total, 4)))
+    return out, retained
+
+
+def test_suffix_tree_scores_equal_brute_force(spark):
+    import random
+
+    from sondera.llm import suffix_tree
+
+    draw = random.Random(2)
+    after = {("a", "b"): "c", ("b", "c"): "d", ("x", "b"): "y", ("d", "a"): "b"}
+    texts = []
+    for n in range(160):
+        ws = ["a", "x"][: 1 + n % 2]
+        for _ in range(60):
+            ws.append(after.get(tuple(ws[-2:]), draw.choice("abcdexyz")) if draw.random() < 0.8 else draw.choice("abcdexyz"))
+        texts.append((n, " ".join(ws)))
+    texts += [(500, "neverseen a b unknown"), (501, None), (502, "a b c")]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    docs = [(i, WORD.findall(t or ""), held(i)) for i, t in texts]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    tree, _ = suffix_tree.train(frame.filter(~suffix_tree.held_out()))
+    # Words of held-out documents alone are not in the dictionary: their probability is the unseen share.
+    assert len(tree.contexts) >= 3 and any(r.any() for r in tree.retained[1:])
+    want, retained = plain_suffix_tree(docs, tree)
+    assert sum(int(r.sum()) for r in tree.retained) == len(retained)
+    got = {r.doc_id: round(r.score, 4) for r in suffix_tree.train_and_score(frame).collect()}
+    assert all(abs(got[i] - s) < 1e-3 for i, s in want if not any(0 < Counter(w for _, ws, h in docs if not h for w in ws)[w] and w.encode() not in tree.words for w in dict((a, b) for a, b, _ in docs)[i]))
+
+
 def test_quality_model(spark, both, empty):
     from sondera.llm import quality_model
 
