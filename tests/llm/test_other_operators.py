@@ -25,6 +25,10 @@ def test_mtree_equals_brute_force(spark):
             scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in usable if j != i and len(w) == len(v))[:20]
             assert sorted(got.get(i, [])) == [(n, j, -s) for n, (s, j) in enumerate(scores, 1)]
     assert set(got) <= {i for i, _ in usable if i % 20 == 0}
+    again = {}
+    for x in mtree.top_k(df, F.col("vec_id") % 20 == 0, shard_rows=40).collect():  # many cells, and one of copies that is split
+        again.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    assert {i: sorted(x) for i, x in again.items()} == {i: sorted(x) for i, x in got.items()}
     assert mtree.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
@@ -40,8 +44,9 @@ def test_mtree_pages_and_bounds():
     leaves = np.concatenate([p[2] for p in pages if p[1]])
     assert sorted(leaves.tolist()) == list(range(4000))
     tree = mtree.Tree({p[0]: (p[1], p[2], p[3].astype(float), *p[4:]) for p in pages}, most)
-    for q in range(0, 4000, 97):
+    for n, q in enumerate(range(0, 4000, 97), 1):
         scores, ids = tree.search(v[q].astype(float), q, 20)
+        assert tree.computed < 0.8 * 4000 * n  # clustered points are pruned
         s = v @ v[q]
         want = [i for i in np.lexsort((np.arange(4000), -s)) if i != q][:20]
         assert ids.tolist() == want and scores.tolist() == s[want].tolist()
