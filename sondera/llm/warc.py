@@ -3,14 +3,17 @@
 Writing. A page's block is an HTTP response. Pages with equal payloads (SHA-256 and
 length) of at least MIN_REVISIT bytes are archived once; the others become ``revisit``
 records that keep the HTTP headers only. Archives are gzip text files written by Spark's
-own committer, cut by a record count that makes files of about FILE_BYTES, so lost executors and retried tasks leave no trace.
+own committer, one write for each class of page sizes with a record count that keeps
+its files below FILE_BYTES (or at one page), so lost executors and retried tasks leave no
+trace and a reader never meets a file much larger than a page.
 
 Reading. A task takes a whole archive file (of bounded size, as written) and emits one
 candidate for every place where the magic stands at a line's start and a header can be
 parsed: its offset, the offset of the record that must follow, and the record's fields.
 Payloads may hold magic too. Pointer jumping then starts at offset 0 of each file and
 doubles its stride until no new candidate is reached; candidates off that chain are
-parts of payloads and are rejected.
+parts of payloads and are rejected. Only records on the chain have their payloads hashed,
+in a second reading, so magic inside payloads costs no more than its header.
 """
 
 from __future__ import annotations
@@ -25,8 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_REVISIT = 1000
-#: Bytes of uncompressed records that an archive file holds, about.
+#: Most bytes of payloads that an archive file holds, unless one page has more.
 FILE_BYTES = 64 << 20
+#: Page sizes of a class lie within this factor.
+SIZE_CLASS = 8
 MAGIC = b"WARC/1.1\r\n"
 GAP = b"\r\n\r\n"
 RESULT_COLUMNS = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
@@ -78,10 +83,13 @@ def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT, file_bytes:
     from sondera.llm.common import small, staged
 
     originals = small(staged(revisits(pages, min_bytes), "originals"))
-    rows, size = pages.agg(F.count(F.lit(1)), F.sum(F.octet_length("html"))).first()
-    per_file = max(1, int(rows * file_bytes / max(1, size or 0)))
-    out = records(pages, originals).write.option("maxRecordsPerFile", per_file)
-    out.option("lineSep", GAP.decode()).option("compression", "gzip").text(path)
+    size = F.coalesce(F.octet_length("html"), F.lit(0)) + F.coalesce(F.octet_length("url"), F.lit(0)) + 600
+    of = F.floor(F.log(size) / F.log(F.lit(float(SIZE_CLASS)))).cast("int")
+    for r in pages.select(of.alias("size_class")).groupBy("size_class").count().collect() or [None]:  # a dozen rows
+        some = pages if r is None else pages.filter(of == r.size_class)
+        per_file = 1 if r is None else max(1, int(file_bytes / SIZE_CLASS ** (r.size_class + 1)))
+        out = records(some, originals).write.option("maxRecordsPerFile", per_file).mode("append")
+        out.option("lineSep", GAP.decode()).option("compression", "gzip").text(path)
 
 
 def candidates(content: bytes) -> list[tuple]:
@@ -102,15 +110,17 @@ def candidates(content: bytes) -> list[tuple]:
                 stop = begin + int(length)
                 page = _page(fields.get(b"warc-record-id"))
                 if stop <= len(content) and content[stop : stop + 4] == GAP and page is not False:
-                    head, gap, payload = content[begin:stop].partition(GAP)
+                    gap = content.find(GAP, begin, stop)
+                    body = gap + len(GAP) if gap >= 0 else stop
                     kind = fields.get(b"warc-type", b"").decode("ascii", "replace")
-                    size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+                    size, digest = stop - body, None
                     if kind == "revisit":
+                        head = content[begin : body if body < stop or gap >= 0 else min(stop, begin + 4096)]
                         stated = [x.split(b":", 1)[1].strip() for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
                         size = int(stated[0]) if stated and stated[0].isdigit() else None
                         digest = fields.get(b"warc-payload-digest", b"").rpartition(b":")[2].decode("ascii", "replace")
                     refers = _page(fields.get(b"warc-refers-to"))
-                    out.append((at, stop + 4, page, kind, size, digest, None if refers is False else refers))
+                    out.append((at, stop + 4, page, kind, body, size, digest, None if refers is False else refers))
         at = content.find(MAGIC, at + 1)
     return out
 
@@ -126,26 +136,30 @@ def _page(value: bytes | None) -> int | None | bool:
         return False
 
 
-CANDIDATE_SCHEMA = "path string, at long, successor long, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long"
+CANDIDATE_SCHEMA = "path string, at long, successor long, page_id long, record_type string, body long, payload_bytes long, payload_digest string, refers_to long"
+
+
+def _opened(content: bytes) -> bytes:
+    return zlib.decompress(content, 31) if content[:2] == b"\x1f\x8b" else content
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
 def emit(spark: SparkSession, path: str) -> DataFrame:
     """Candidates of all archive files under ``path``."""
 
     def run(batches):
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        names = ["path", "at", "successor", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+        names = ["path", "at", "successor", "page_id", "record_type", "body", "payload_bytes", "payload_digest", "refers_to"]
         for b in batches:
             for n in range(b.num_rows):
-                where, content = b.column(0)[n].as_py(), b.column(1)[n].as_py()
-                if content[:2] == b"\x1f\x8b":
-                    content = zlib.decompress(content, 31)
-                rows = [(where, *c) for c in candidates(content)]
+                rows = [(b.column(0)[n].as_py(), *c) for c in candidates(_opened(b.column(1)[n].as_py()))]
                 columns = list(zip(*rows, strict=True)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(run, CANDIDATE_SCHEMA)
+    return _files(spark, path).mapInArrow(run, CANDIDATE_SCHEMA)
 
 
 def reachable(at: np.ndarray, successor: np.ndarray) -> np.ndarray:
@@ -164,18 +178,39 @@ def reachable(at: np.ndarray, successor: np.ndarray) -> np.ndarray:
         jump = jump[jump]
 
 
+KEPT_SCHEMA = "path string, page_id long, body long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives under ``path``, without magic inside payloads.
 
     A file's candidates (a few dozen bytes a record) meet in one task; files are bounded.
     """
+    from sondera.llm.common import BROADCAST_ROWS, staged
+
+    names = [f.split()[0] for f in KEPT_SCHEMA.split(", ")]
 
     def chain(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at", kind="stable")
-        return rows[reachable(rows["at"].to_numpy(), rows["successor"].to_numpy())][RESULT_COLUMNS]
+        return rows[reachable(rows["at"].to_numpy(), rows["successor"].to_numpy())][names]
+
+    kept = staged(emit(spark, path).groupBy("path").applyInPandas(chain, KEPT_SCHEMA), "records")
+    spans = kept.groupBy("path").agg(F.collect_list(F.struct("page_id", "body", "payload_bytes", "payload_digest", "record_type", "refers_to")).alias("found"))  # of one file
+    spans = F.broadcast(spans) if kept.count() <= BROADCAST_ROWS else spans
+
+    def hashed(batches):
+        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+        for b in batches:
+            for n in range(b.num_rows):
+                content, rows = _opened(b.column(0)[n].as_py()), []
+                for r in b.column(1)[n].as_py():
+                    stated = r["payload_digest"] if r["record_type"] == "revisit" else hashlib.sha1(content[r["body"] : r["body"] + r["payload_bytes"]]).hexdigest()
+                    rows.append((r["page_id"], r["payload_bytes"], stated, r["record_type"], r["refers_to"]))
+                columns = list(zip(*rows, strict=True)) or [()] * len(types)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=RESULT_COLUMNS)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return emit(spark, path).groupBy("path").applyInPandas(chain, schema)
+    return _files(spark, path).join(spans, "path").select("content", "found").mapInArrow(hashed, schema)
 
 
 def archive(pages: DataFrame) -> DataFrame:

@@ -88,6 +88,19 @@ def test_warc_chain_rejects_magic_in_payloads(spark):
     assert warc.read(spark, path).filter("page_id = 999").count() == 0
 
 
+def test_warc_files_stay_small(spark):
+    from sondera.llm import warc
+    from sondera.llm.common import new_path
+
+    rows = [(n, "u", ("z" * (50 if n % 5 else 200_000)) + str(n)) for n in range(200)]
+    path = new_path(spark, "warc-test")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, path, file_bytes=1_000_000)
+    sizes = [len(warc._opened(bytes(r.content))) for r in warc._files(spark, path).collect()]
+    assert max(sizes) < 1_300_000 and len(sizes) < 60
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest) for r in warc.read(spark, path).collect()) == [(i, len(h), hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows]
+
+
 def test_pointer_jumping():
     from sondera.llm import warc
 
