@@ -9,7 +9,7 @@ Random: the values inside base spans, and DRAWN digests written in the usual alp
 that the corpus has in base spans. Ordinary: the words of all documents with a span, as
 they stand, in capitals and joined to names, their identifiers outside of base spans, and
 as many decimal numbers and dates as there are digests. The threshold is MIN_RATIO, or what
-all but ORDINARY_SHARE of the long ordinary samples stay below, if that is higher.
+all but ORDINARY_SHARE of the distinct long ordinary samples stay below, if that is higher.
 
 Texts are searched for base spans once and staged with them; training reads the staged
 documents that have spans, and scoring reads all of them.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,16 +108,21 @@ def samples(found: DataFrame) -> DataFrame:
     """value and r (1: random, 0: ordinary) from all rows of ``found`` (text and _base) that have a base span, and the drawn ones."""
     marked = found.filter(F.size("_base") > 0)
     text = F.coalesce("text", F.lit(""))
-    outside = lambda t: ~F.exists("_base.value", lambda v: F.contains(t, v) | F.contains(v, t))
     words = F.filter(F.split(text, r"[^\p{L}_]+"), lambda w: F.length(w) > 3)
-    named = F.filter(F.regexp_extract_all(text, F.lit(IDENTIFIER), 1), lambda w: (F.length(w) > 3) & outside(w))
-    joined = F.transform(F.sequence(F.lit(1), F.size(words), F.lit(3)), lambda i: F.slice(words, i, 3))
-    joined = F.when(F.size(words) > 0, joined).otherwise(F.array().cast("array<array<string>>"))
-    camel = F.transform(joined, lambda x: F.array_join(F.transform(x, F.initcap), ""))
-    snake = F.transform(joined, lambda x: F.lower(F.array_join(x, "_")))
-    one = lambda v, r: F.transform(v, lambda x: F.struct(x.alias("value"), F.lit(r).alias("r")))
-    own = marked.select(F.inline(F.concat(one(F.col("_base.value"), 1), one(words, 0), one(F.transform(words, F.upper), 0), one(camel, 0), one(snake, 0), one(named, 0))))
-    return own.unionByName(drawn(found.sparkSession))
+    named = F.filter(F.regexp_extract_all(text, F.lit(IDENTIFIER), 1), lambda w: F.length(w) > 3)
+    # Stored, as expressions on arrays would split the text again for every element.
+    cut = staged(marked.select(F.col("_base.value").alias("secret"), words.alias("words"), named.alias("named")), "words")
+    outside = F.filter("named", lambda t: ~F.exists("secret", lambda v: F.contains(t, v) | F.contains(v, t)))
+    joined = F.transform(F.sequence(F.lit(1), F.size("words"), F.lit(3)), lambda i: F.slice("words", i, 3))
+    joined = F.when(F.size("words") > 0, joined).otherwise(F.array().cast("array<array<string>>"))
+    each = lambda v, r: cut.select(F.explode(v).alias("value"), F.lit(r).alias("r"))
+    threes = cut.select(F.explode(joined).alias("x"))
+    parts = [
+        each("secret", 1), each("words", 0), each(outside, 0), cut.select(F.explode("words").alias("w")).select(F.upper("w").alias("value"), F.lit(0).alias("r")),
+        threes.select(F.array_join(F.transform("x", F.initcap), "").alias("value"), F.lit(0).alias("r")), threes.select(F.lower(F.array_join("x", "_")).alias("value"), F.lit(0).alias("r")),
+        drawn(found.sparkSession),
+    ]
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 class Model:
@@ -138,9 +144,9 @@ def train(found: DataFrame) -> Model:
     Counts have one added per possible transition. Without ordinary samples nothing can
     be told apart and every ratio is 0.
     """
-    known = samples(found)
-    pairs = known.select("r", F.explode(transitions(F.col("value"))).alias("t"))
-    rows = pairs.groupBy("t").agg(F.sum("r").alias("random"), F.sum(1 - F.col("r")).alias("ordinary")).collect()  # SYMBOLS**2 at most
+    known = staged(samples(found).groupBy("value", "r").agg(F.count(F.lit(1)).alias("n")), "samples")
+    pairs = known.select("r", "n", F.explode(transitions(F.col("value"))).alias("t"))
+    rows = pairs.groupBy("t").agg(F.sum(F.col("r") * F.col("n")).alias("random"), F.sum((1 - F.col("r")) * F.col("n")).alias("ordinary")).collect()  # SYMBOLS**2 at most
     counts = {t: (r, o) for t, r, o in rows}
     if not any(o for _, o in counts.values()):
         return Model([0.0] * SYMBOLS**2)
