@@ -130,3 +130,21 @@ def test_pipeline_stages_take_effect(spark):
     assert secret_scan.scan(safe).filter("size(_base) > 0").count() == 0
     packed = corpus_pipeline.run(spark, d)
     assert sorted({r.doc_id for r in packed.collect()}) == ids(safe)
+
+
+def test_empty_tables_and_clashing_columns(spark, both, empty):
+    import corpus_pipeline
+    import public_tokenizers
+    from sondera.llm import bpe, near_dedup, quality_model, secret_scan
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    assert bpe.round_trip(empty, ranks, public_tokenizers.PATTERN).count() == 0
+    assert near_dedup.keep(empty).count() == secret_scan.mask(empty).count() == quality_model.keep(empty, labels).count() == 0
+    plain = empty.select(*corpus_pipeline.COLUMNS)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, plain, "/root/testdata/sf0.001").count() == 0
+    kept, masked = near_dedup.keep(both), secret_scan.mask(both)
+    assert kept.columns == masked.columns == both.columns
+    assert masked.count() == both.count() and 0 < kept.count() < both.count()
+    assert sorted(r.row for r in masked.filter("row is not null").collect()) == sorted(r.row for r in both.filter("row is not null").collect())
