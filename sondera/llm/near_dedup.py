@@ -65,11 +65,13 @@ def _multipliers(bands: int) -> tuple[np.ndarray, np.ndarray]:
     return draw.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 1 << 63, n, np.uint64)
 
 
+#: Words whose hashes are kept while a task runs; its end forgets them, as workers live on.
+KEPT_WORDS = 200_000
 _words: dict[bytes, int] = {}
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_words) > 500_000:
+    if len(_words) > KEPT_WORDS:
         _words.clear()
     for w in set(words):
         if w not in _words:
@@ -126,6 +128,7 @@ def signed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 rows.append((doc, len(s), xxhash.xxh3_128_digest(s.tobytes()), [x - (1 << 64) if x >> 63 else x for x in bands], signature))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in SIGNED_SCHEMA.split(", ")])
+        _words.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED_SCHEMA)
 
@@ -181,6 +184,7 @@ def sets(docs: DataFrame) -> DataFrame:
             number = pa.array([x - (1 << 64) if x >> 63 else x for x in number], pa.int64())
             parts = pa.array([segment_counts(x) for x in s], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), number, pa.array(s, pa.list_(pa.int64())), parts], names=["doc_id", "set", "s", "parts"])
+        _words.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set long, s array<long>, parts array<int>")
 

@@ -29,7 +29,7 @@ GROUP_PIECES = 16_384
 SEPARATOR_ID = 0
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECES_SCHEMA + ", sequence_id long, offset long"
-#: Words kept per worker, about 150 bytes each.
+#: Words kept while a task runs, about 150 bytes each.
 CACHE_WORDS = 1_200_000
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -42,7 +42,8 @@ class WordTokenizer:
     drops spaces and parts letters from marks. So a text's ids are those of its words in
     turn, and those of a word that ends in a letter and one full stop or comma are those
     of both parts. Words are encoded once and kept in two generations: when the younger
-    is full, the older goes, so frequent words stay and memory is bounded.
+    is full, the older goes, so frequent words stay and memory is bounded. Workers live
+    on after a task, so its end forgets all words.
     """
 
     def __init__(self, path: str):
@@ -69,6 +70,9 @@ class WordTokenizer:
             known.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, found, strict=True))
         known.update((w, known[w[:-1]] + known[w[-1:]]) for w in marked)
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         raw = [(t or "").encode("utf-8") for t in texts]
         # Special tokens are matched before letters are lowered, so texts that may hold one keep their case.
@@ -98,6 +102,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for b in blocks(batches):
             ids = [x + end for x in t.encode(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        t.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -121,6 +126,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(columns, types, strict=True)], names=names)
+        t.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES_SCHEMA)
 
