@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+#: The characters of SPACE.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
 # Advertising phrases removed from notes.
 AD_PATTERNS = [
     "对于想求职.*?欢迎后台联系",
@@ -54,7 +57,7 @@ def _text(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(SPACES))
 
 
 def blank(c: Column | str) -> Column:

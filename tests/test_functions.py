@@ -96,6 +96,17 @@ def test_term_cosine_equals_brute_force(spark):
     assert got == want
 
 
+def largest_share(pairs):
+    counts = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts), sum(counts)
+
+
+def test_pairs_of_a_large_group_are_dealt_over_tasks(spark):
+    many = spark.range(4000).select(F.col("id").alias("qid"), F.lit("same").alias("raw"), F.lit("").alias("norm"))
+    share, made = largest_share(dedupe.exact_pairs(many))
+    assert made == 4000 * 3999 // 2 and share < 0.6
+
+
 def test_fast_path_equals_brute_force_and_moves_no_pairs(spark):
     draw = random.Random(4)
     texts = [draw.choice(["a", "A", " a", "a!", "b c", "B c", "bc", "attent\u0130on\u673a\u5236", "attent\u0130on\u673a\u5236".lower(), "ATTENTION\u673a\u5236", "!", "?"]) for _ in range(150)]
