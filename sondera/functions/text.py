@@ -7,6 +7,7 @@ numbers and the underscore.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -97,18 +98,34 @@ def clean_csv_text(c: Column | str) -> Column:
 
 
 def narrow(c: Column) -> Column:
-    """Full-width forms and the ideographic space to their ASCII counterparts."""
-    return F.translate(c, FULL_WIDTH, HALF_WIDTH)
+    """Full-width forms to their ASCII counterparts, white space of any kind to spaces."""
+    return F.translate(c, FULL_WIDTH + SPACES, HALF_WIDTH + " " * len(SPACES))
 
 
 def punctuate(c: Column) -> Column:
+    """Punctuation rewritten and runs of spaces collapsed; narrow has made all white space spaces."""
     t = reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), PUNCTUATION, c)
-    return F.regexp_replace(t, f"{SPACE}+", " ")
+    return F.regexp_replace(t, " {2,}", " ")
+
+
+def term_mark(term: str) -> str:
+    """A part without which a term cannot occur: its longest run of Chinese characters, else its last word."""
+    return max(re.findall("[\u4e00-\u9fff]+", term), key=len, default=term[max(term.rfind(" "), 0) :])
 
 
 def map_terms(c: Column, terms: list[tuple[str, str]] | None = None) -> Column:
-    """Case-insensitive literal rewrites in order; an earlier one can keep a later one from matching."""
-    return reduce(lambda x, p: F.regexp_replace(x, rf"(?iu)\Q{p[0]}\E", p[1].replace("\\", "\\\\").replace("$", "\\$")), TERMS if terms is None else terms, c)
+    """Case-insensitive literal rewrites in order; an earlier one can keep a later one from matching.
+
+    Texts without any mark of a term, which are most, are read once and stay as they are.
+    """
+    terms = TERMS if terms is None else terms
+    marks = {term_mark(k) for k, _ in terms}
+    marks = [m for m in sorted(marks) if not any(o != m and o in m for o in marks)]
+    if not marks:
+        return c
+    rewritten = lambda x: reduce(lambda y, p: F.regexp_replace(y, rf"(?iu)\Q{p[0]}\E", p[1].replace("\\", "\\\\").replace("$", "\\$")), terms, x)
+    marked = "(?iu)" + "|".join(rf"\Q{m}\E" for m in marks)
+    return F.transform(F.array(c), lambda x: F.when(x.rlike(marked), rewritten(x)).otherwise(x))[0]  # a lambda, so that the text is made once
 
 
 def normalize(c: Column | str, terms: list[tuple[str, str]] | None = None) -> Column:
@@ -118,7 +135,7 @@ def normalize(c: Column | str, terms: list[tuple[str, str]] | None = None) -> Co
 
 def compare_key(c: Column | str) -> Column:
     """Lower case, letters, numbers and underscores only."""
-    return F.regexp_replace(F.lower(_text(c)), r"[^\p{L}\p{N}_]", "")
+    return F.regexp_replace(F.lower(_text(c)), r"[^\p{L}\p{N}_]+", "")
 
 
 def exact_key(c: Column | str) -> Column:

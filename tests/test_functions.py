@@ -107,6 +107,26 @@ def test_pairs_of_a_large_group_are_dealt_over_tasks(spark):
     assert made == 4000 * 3999 // 2 and share < 0.6
 
 
+def test_normalized_pairs_of_a_large_group_and_of_odd_white_space(spark):
+    signs = ["", ".", " !", "\u2003?"]
+    many = spark.createDataFrame([(n, f"Sa{signs[n % 4]}me", "") for n in range(2500)] + [(None, "same", ""), (9000, None, None), (9001, "", None)], "qid long, raw string, norm string")
+    pairs = dedupe.normalized_pairs(many)
+    share, made = largest_share(pairs)
+    assert made == 2500 * 2499 // 2 + 1 and share < 0.7
+    assert pairs.filter("a >= b").isEmpty() and pairs.distinct().count() == made
+
+
+def test_strip_and_normalize_treat_every_white_space(spark):
+    import re
+
+    odd = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+    marks = [chr(n) for n in range(1, 0xD800)]
+    rows = spark.createDataFrame([(n, f"{c}{c} a{c}{c}b {c}") for n, c in enumerate(marks)], "n int, t string")
+    for r in rows.select("n", "t", text.strip("t").alias("s"), text.punctuate(text.narrow(F.col("t"))).alias("p")).collect():
+        assert r.s == re.sub(rf"\A{odd.pattern}|{odd.pattern}\Z", "", r.t)
+        assert not odd.fullmatch(marks[r.n]) or r.p == " a b "
+
+
 def test_fast_path_equals_brute_force_and_moves_no_pairs(spark):
     draw = random.Random(4)
     texts = [draw.choice(["a", "A", " a", "a!", "b c", "B c", "bc", "attent\u0130on\u673a\u5236", "attent\u0130on\u673a\u5236".lower(), "ATTENTION\u673a\u5236", "!", "?"]) for _ in range(150)]
