@@ -1,6 +1,7 @@
 """Functions and parsers on micro-fixtures."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,22 @@ def test_term_cosine_equals_brute_force(spark):
     assert got == want
 
 
+def test_term_cosine_over_blocks_makes_no_candidate_rows(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    monkeypatch.setattr(similarity, "BLOCK", 16)
+    draw = random.Random(8)
+    texts = [(n, " ".join(["The"] * draw.randint(5, 9) + draw.choices("abcdefgh", k=4) + [f"w{draw.randint(0, 400)}"])) for n in range(120)] + [(900, ""), (901, None), (902, "\t x\u00a0y \n"), (903, "x\u00a0y")]
+    found = similarity.term_cosine_pairs(spark.createDataFrame(texts, "id long, text string"), 0.9501)
+    rows = found.collect()
+    bags = {n: Counter(re.split("[ \t-\r]+", t.lower().strip(" \t\n"))) for n, t in texts if t}
+    dot = lambda x, y: sum(x[k] * y[k] for k in x)
+    cosine = {(i, j): dot(bags[i], bags[j]) / math.sqrt(dot(bags[i], bags[i]) * dot(bags[j], bags[j])) for i in bags for j in bags if i < j}
+    assert {(r.a, r.b): round(r.cosine, 6) for r in rows} == {p: round(c, 6) for p, c in cosine.items() if c >= 0.9501} and len(rows) == len({(r.a, r.b) for r in rows}) > 50
+    assert "Join" not in found._jdf.queryExecution().sparkPlan().toString()
+
+
 def largest_share(pairs):
     counts = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
     return max(counts) / sum(counts), sum(counts)
@@ -117,8 +134,6 @@ def test_normalized_pairs_of_a_large_group_and_of_odd_white_space(spark):
 
 
 def test_strip_and_normalize_treat_every_white_space(spark):
-    import re
-
     odd = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
     marks = [chr(n) for n in range(1, 0xD800)]
     rows = spark.createDataFrame([(n, f"{c}{c} a{c}{c}b {c}") for n, c in enumerate(marks)], "n int, t string")
