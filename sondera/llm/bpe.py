@@ -223,13 +223,14 @@ def coder(ranks_path: str, pattern: str) -> Coder:
 BLOCK_CHARS = 8_000_000
 
 
-def blocks(batches, text_column: str = "text"):
-    """Slices of record batches with about BLOCK_CHARS characters."""
+def blocks(batches, text_column: str = "text", most: int | None = None):
+    """Slices of record batches with about ``most`` bytes of a column (BLOCK_CHARS unless given)."""
+    most = most or BLOCK_CHARS
     for batch in batches:
         at, size = 0, 0
         for n, x in enumerate(batch.column(batch.schema.get_field_index(text_column))):
             size += len(x.as_buffer() or b"") if x.is_valid else 0
-            if size >= BLOCK_CHARS:
+            if size >= most:
                 yield batch.slice(at, n + 1 - at)
                 at, size = n + 1, 0
         if at < batch.num_rows:

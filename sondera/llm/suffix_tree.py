@@ -21,14 +21,19 @@ Texts are cut into words twice, for the counts and for the token numbers, which
 staged and which all later passes read. The dictionary holds the most frequent words. The
 other words of a document, whose probability only the root can give, are counted by
 document and joined with the vocabulary table; contexts that hold them do not exist.
+
+Python workers stand beside a JVM that may fill its whole heap, so they hold little at
+once: blocks of BLOCK_BYTES of a column, of the tree only what their stage reads, and as
+long as that is broadcast. What they add up is shuffled as it is, in batches of
+EMIT_ROWS; another map-side aggregate would find each key about once.
 """
 
 from __future__ import annotations
 
+import copy
 import math
-import uuid
 from collections import Counter
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +53,9 @@ DISCOUNT = 0.75
 #: Nats that an edge of a retained context must earn over the corpus.
 EDGE_COST = 4.0
 FLUSH = 1_000_000
+#: Bytes of texts or token numbers (four each) that a worker looks at at once; a longer document is a block of its own.
+BLOCK_BYTES = 1_000_000
+EMIT_ROWS = 100_000
 
 
 def held_out() -> Column:
@@ -58,20 +66,24 @@ def held_out() -> Column:
 def word_counts(docs: DataFrame) -> DataFrame:
     """word (bytes) and c over all rows, added up per partition before the shuffle."""
 
+    from sondera.llm.bpe import blocks
+
     def emit(counts: Counter):
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
+        items = iter(counts.items())
+        while part := list(islice(items, EMIT_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([c for _, c in part], pa.int64())], names=["word", "c"])
 
     def run(batches):
         counts: Counter = Counter()
-        for b in batches:
+        for b in blocks(batches, "text", BLOCK_BYTES):
             for text in b.column(0).to_pylist():
                 counts.update(byte_words(text))
             if len(counts) > FLUSH:
-                yield emit(counts)
+                yield from emit(counts)
                 counts = Counter()
-        yield emit(counts)
+        yield from emit(counts)
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("text").mapInArrow(run, "word binary, c long").repartition("word").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class Tree:
@@ -79,8 +91,8 @@ class Tree:
 
     def __init__(self, words: list[bytes], counts: np.ndarray, ends: int, total: int, distinct: int, singles: int):
         self.words, self.counts = words, counts
+        self.n_words = len(words)
         self.ends, self.total, self.distinct = ends, total, distinct
-        self.token = ""
         self.unseen = (singles + 1) / (total + 2)
         self.least_edge, self.least_context = (max(2.0, x * max(1, total) ** GROWTH) for x in (EDGE_COUNT, CONTEXT_COUNT))
         self.n_next = int((counts >= self.least_edge).sum())
@@ -99,7 +111,7 @@ class Tree:
         return self.n_next + 1  # the frequent words and the end
 
     def root(self, symbol: np.ndarray) -> np.ndarray:
-        """Probability of dictionary words, or of the end (number len(words)), at the root."""
+        """Probability of dictionary words, or of the end (number n_words), at the root."""
         counts = np.append(self.counts, self.ends)
         return (1.0 - self.unseen) * counts[symbol] / max(1, self.total)
 
@@ -120,7 +132,7 @@ class Tree:
 
     def symbol(self, ids: np.ndarray) -> np.ndarray:
         """Next symbols: frequent words, the end (n_next), or -1."""
-        return np.where(ids == len(self.words), self.n_next, np.where((ids >= 0) & (ids < self.n_next), ids, -1))
+        return np.where(ids == self.n_words, self.n_next, np.where((ids >= 0) & (ids < self.n_next), ids, -1))
 
     def candidates(self) -> None:
         """Find the contexts of the next depth from the edges of the last."""
@@ -149,7 +161,7 @@ class Tree:
         self.raw_keys, self.raw_counts = keys, counts
         context, symbol = keys // self.symbols, keys % self.symbols
         size, total = len(self.contexts[d]), self.totals[d]
-        as_id = np.where(symbol == self.n_next, len(self.words), symbol)
+        as_id = np.where(symbol == self.n_next, self.n_words, symbol)
         shorter = self.probability(as_id, symbol, self._chain(d - 1, self.suffix[d][context]), d - 1)
         direct = counts / total[context]
         rest = np.maximum(1e-12, 1.0 - np.bincount(context, direct, size))
@@ -197,21 +209,20 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-_loaded: dict[str, tuple[Tree, dict[bytes, int]]] = {}
-
+def _broadcast(spark: SparkSession, tree: Tree, *parts: str):
+    """A broadcast of the tree's numbers and of those of its larger parts that the stage reads."""
+    thin = copy.copy(tree)
+    for name, value in vars(tree).items():
+        if isinstance(value, (list, np.ndarray)) and name not in parts:
+            setattr(thin, name, value[:0])
+    return spark.sparkContext.broadcast(thin)
 
-def _load(shared) -> tuple[Tree, dict[bytes, int]]:
-    """The broadcast tree and its dictionary, built once per worker."""
-    tree = shared.value
-    if tree.token not in _loaded:
-        _loaded.clear()
-        _loaded[tree.token] = tree, {w: n for n, w in enumerate(tree.words)}
-    return _loaded[tree.token]
 
-
-def _broadcast(spark: SparkSession, tree: Tree):
-    tree.token = uuid.uuid4().hex
-    return spark.sparkContext.broadcast(tree)
+def _numbers(tree: Tree) -> dict[bytes, int]:
+    """Numbers of the dictionary words, made once per worker and kept with the broadcast tree."""
+    if not hasattr(tree, "number"):
+        tree.number = {w: n for n, w in enumerate(tree.words)}
+    return tree.number
 
 
 NUMBERED_SCHEMA = "doc_id long, held_out boolean, ids binary, others array<struct<word:binary,tf:bigint>>"
@@ -221,21 +232,24 @@ def numbered(docs: DataFrame, tree: Tree) -> DataFrame:
     """doc_id, whether held out, the token numbers (packed 32-bit; -1: not in the dictionary; the end last) and the other words of every row."""
     from sondera.llm.bpe import blocks
 
-    shared = _broadcast(docs.sparkSession, tree)
-    other = pa.struct([("word", pa.binary()), ("tf", pa.int64())])
+    shared = _broadcast(docs.sparkSession, tree, "words")
+    other = [pa.field("word", pa.binary()), pa.field("tf", pa.int64())]
 
     def run(batches):
-        for b in blocks(batches):
-            tree, number = _load(shared)
-            end = len(tree.words)
-            ids, others = [], []
+        for b in blocks(batches, "text", BLOCK_BYTES):
+            number, end = _numbers(shared.value), shared.value.n_words
+            ids, words_of, tf, ends = [], [], [], [0]
             for text in b.column(2).to_pylist():
                 words = byte_words(text)
                 n = np.fromiter(chain(map(number.get, words, repeat(-1)), (end,)), np.int32, len(words) + 1)
                 ids.append(n.tobytes())
                 rare = Counter([words[i] for i in np.flatnonzero(n < 0).tolist()])
-                others.append([{"word": w, "tf": k} for w, k in rare.items()])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary()), pa.array(others, pa.list_(other))], names=["doc_id", "held_out", "ids", "others"])
+                words_of.extend(rare)
+                tf.extend(rare.values())
+                ends.append(len(tf))
+            others = pa.StructArray.from_arrays([pa.array(words_of, pa.binary()), pa.array(tf, pa.int64())], fields=other)
+            others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary()), others], names=["doc_id", "held_out", "ids", "others"])
 
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, NUMBERED_SCHEMA)
 
@@ -251,15 +265,21 @@ def edge_counts(rows: DataFrame, shared, depth: int, least: float) -> tuple[np.n
     """The frequent edges of all candidates of ``depth`` words, sorted. rows: ids."""
     from sondera.llm.bpe import blocks
 
-    def run(batches):
-        keys, counts, held = [], [], 0
+    def merged(keys: list, counts: list):
+        k, c = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(k)
+        k, c = k[order], c[order]
+        first = np.flatnonzero(np.append(k[:1] >= 0, k[1:] != k[:-1]))
+        return k[first], np.add.reduceat(c, first) if len(first) else c
 
-        def merged():
-            k, at = np.unique(np.concatenate(keys), return_inverse=True)
-            return k, np.bincount(at, np.concatenate(counts)).astype(np.int64)
+    def emit(k: np.ndarray, c: np.ndarray):
+        for at in range(0, len(k), EMIT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + EMIT_ROWS]) for x in (k, c)], names=["edge", "c"])
 
-        for b in blocks(batches, "ids"):
-            tree, _ = _load(shared)
+    def run(batches):
+        keys, counts, held = [], [], 0  # the first of each: merged so far
+        for b in blocks(batches, "ids", BLOCK_BYTES):
+            tree = shared.value
             ids, first = _joined(b.column(0))
             state, symbol = tree.states(ids, first, depth)[-1], tree.symbol(ids)
             use = (state >= 0) & (symbol >= 0)
@@ -267,17 +287,17 @@ def edge_counts(rows: DataFrame, shared, depth: int, least: float) -> tuple[np.n
             keys.append(k)
             counts.append(c)
             held += len(k)
-            if held > 4 * FLUSH:
-                k, c = merged()
+            if held > FLUSH:
+                k, c = merged(keys, counts)
                 if len(k) > 2 * FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["edge", "c"])
+                    yield from emit(k, c)
                     k, c = k[:0], c[:0]
-                keys, counts, held = [k], [c], len(k)
+                keys, counts, held = [k], [c], 0
         if keys:
-            k, c = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["edge", "c"])
+            yield from emit(*merged(keys, counts))
 
-    found = rows.select("ids").mapInArrow(run, "edge long, c long").groupBy("edge").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
+    sums = rows.select("ids").mapInArrow(run, "edge long, c long").repartition("edge").groupBy("edge").agg(F.sum("c").alias("c"))
+    found = sums.filter(F.col("c") >= least)
     table = found.toArrow()
     keys, counts = table.column("edge").to_numpy(), table.column("c").to_numpy()
     order = np.argsort(keys)
@@ -312,7 +332,7 @@ def grow(tree: Tree, rows: DataFrame, max_depth: int = MAX_DEPTH) -> Tree:
             for part in (tree.contexts, tree.totals, tree.suffix):
                 part.pop()
             break
-        shared = _broadcast(rows.sparkSession, tree)
+        shared = _broadcast(rows.sparkSession, tree, "contexts")
         tree.learn(*edge_counts(rows, shared, depth, tree.least_edge))
         shared.unpersist()
     return tree
@@ -328,13 +348,13 @@ def score(rows: DataFrame, tree: Tree, vocabulary: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of staged token numbers."""
     from sondera.llm.bpe import blocks
 
-    shared = _broadcast(rows.sparkSession, tree)
+    shared = _broadcast(rows.sparkSession, tree, "counts", "contexts", "retained", "mass", "edge_keys", "edge_values")
     total, distinct = tree.total, tree.distinct
 
     def run(batches):
         names = ["row", "n_tokens", "n_known", "base_score", "score"]
-        for b in blocks(batches, "ids"):
-            tree, _ = _load(shared)
+        for b in blocks(batches, "ids", BLOCK_BYTES):
+            tree = shared.value
             ids, first = _joined(b.column(1))
             known = ids >= 0
             counts = np.append(tree.counts, tree.ends)

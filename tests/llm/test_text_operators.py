@@ -634,6 +634,82 @@ def test_suffix_tree_scores_equal_brute_force(spark):
     assert all(abs(got[i] - s) < 1e-3 for i, s in want if not any(0 < Counter(w for _, ws, h in docs if not h for w in ws)[w] and w.encode() not in tree.words for w in dict((a, b) for a, b, _ in docs)[i]))
 
 
+class Handed:
+    """Stands for the rows of a stage and keeps the function that its Python workers would run."""
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def select(self, *columns):
+        return self
+
+    def withColumn(self, name, column):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        raise InterruptedError
+
+
+def test_suffix_tree_workers_hold_little(spark):
+    """Beside a full JVM heap two workers have to go with little memory, whatever a batch holds."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from sondera.llm import suffix_tree
+
+    texts = [(n, " ".join(f"w{(n * k) % 61} w{k % 7}" for k in range(300))) for n in range(200)]
+    tree, vocabulary = suffix_tree.train(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert len(tree.contexts) > 1 and any(r.any() for r in tree.retained)
+    draw = np.random.default_rng(3)
+    docs = [np.append(draw.integers(-1, len(tree.words), 20_000), len(tree.words)).astype(np.int32).tobytes() for _ in range(200)]
+    ids = pa.array(docs, pa.binary())
+
+    def handed(call):
+        rows = Handed(spark)
+        with pytest.raises(InterruptedError):
+            call(rows)
+        return rows.run
+
+    def peak(run, **columns):
+        tracemalloc.start()
+        try:
+            out = list(run([pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))]))
+            return out, tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    shared = spark.sparkContext.broadcast(tree)
+    counted, most = peak(handed(lambda rows: suffix_tree.edge_counts(rows, shared, 2, 1.0)), ids=ids)
+    assert most < 64
+    want = Counter()
+    for x in docs:
+        i, first = suffix_tree._joined(pa.array([x], pa.binary()))
+        state, symbol = tree.states(i, first, 2)[-1], tree.symbol(i)
+        want.update((state * tree.symbols + symbol)[(state >= 0) & (symbol >= 0)].tolist())
+    assert {e: c for b in counted for e, c in zip(*(x.to_pylist() for x in b.columns))} == want
+    scored, most = peak(handed(lambda rows: suffix_tree.score(rows, tree, vocabulary)), row=pa.array(range(len(docs))), ids=ids)
+    assert most < 64
+    assert [r for b in scored for r in b.column(0).to_pylist()] == list(range(len(docs)))
+    assert sum(sum(b.column(1).to_pylist()) for b in scored) == 200 * 20_001
+
+
+def test_suffix_tree_workers_emit_small_batches(spark):
+    import pyarrow as pa
+    from sondera.llm import suffix_tree
+
+    rows = Handed(spark)
+    with pytest.raises(InterruptedError):
+        suffix_tree.word_counts(rows)
+    words = [f"w{n}" for n in range(250_000)]
+    texts = pa.array([" ".join(words[at : at + 1000]) for at in range(0, len(words), 1000)] + [None, "w0"])
+    out = list(rows.run([pa.RecordBatch.from_arrays([texts], names=["text"])]))
+    assert max(b.num_rows for b in out) <= 100_000
+    got = {w: c for b in out for w, c in zip(*(col.to_pylist() for col in b.columns))}
+    assert got == {w.encode(): 1 + (w == "w0") for w in words}
+
+
 def test_quality_model(spark, both, empty):
     from sondera.llm import quality_model
 
