@@ -13,7 +13,10 @@ the move is least, ties to the smallest gap; a new bin is opened only if none fi
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import string
 import zlib
 from array import array
 
@@ -29,20 +32,66 @@ GROUP_PIECES = 16_384
 SEPARATOR_ID = 0
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECES_SCHEMA + ", sequence_id long, offset long"
-#: Words kept per worker, about 150 bytes each.
-CACHE_WORDS = 1_200_000
+#: Units kept per worker, about 200 bytes each.
+CACHE_UNITS = 600_000
+#: Bytes of text cut and encoded at a time; a longer text is a block of its own.
+BLOCK_BYTES = 4_000_000
+#: Units that the splitter leaves whole: lower-case letters (to U+00FF) or marks without an apostrophe.
+SIMPLE = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[!-&(-/:-@\[-`{-~]+")
+
+_BLANKS = b" \t\n\x0b\x0c\r"
+#: Bytes as blanks 0, letters 1, marks 2 and others 4: two that stand together are parted if the exclusive or is 1 to 4.
+_KIND = bytes(0 if x in _BLANKS else 1 if 97 <= x <= 122 else 2 if chr(x) in string.punctuation.replace("'", "") else 4 for x in range(256))
+#: Second bytes of the letters of U+00DF to U+00FF, whose first byte is 195.
+_TAIL = np.isin(np.arange(256), [x for x in range(0x9F, 0xC0) if x != 0xB7])
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
+def _text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column of strings (null: empty), and where each text begins, the end last."""
+    texts = texts.fill_null("") if texts.null_count else texts
+    _, at, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    at = np.frombuffer(at, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+def _units(text: bytes, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The units of lower-cased texts that begin ``at``, and how many of them stand before each text and in all.
+
+    A unit is a word, cut between a letter and a mark that is no apostrophe. There the
+    splitter parts them whatever stands around, and nothing composes across.
+    """
+    raw = np.frombuffer(text, np.uint8)
+    kind = np.frombuffer(bytearray(text.translate(_KIND)), np.uint8)
+    tails = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    tails = tails[_TAIL[raw[tails]]]
+    kind[tails - 1] = kind[tails] = 1
+    edge = np.ones(len(raw) + 1, bool)  # a unit may begin here, or one ends just before
+    edge[1:-1] = (kind[1:] ^ kind[:-1]) - np.uint8(1) < 4
+    edge[at] = True
+    edges = np.flatnonzero(edge)
+    kept = kind[edges[:-1]] > 0
+    starts = edges[:-1][kept]
+    ends = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(np.diff(edges)[kept], out=ends[1:])
+    found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(text.translate(None, _BLANKS))])
+    return found, np.searchsorted(starts, at)
+
+
 class WordTokenizer:
     """Packed ids of a text by a tokenizer that never looks across ASCII white space.
 
     Its normaliser turns white space to single spaces and lower case, and its splitter
-    drops spaces and parts letters from marks. So a text's ids are those of its words in
-    turn, and those of a word that ends in a letter and one full stop or comma are those
-    of both parts. Words are encoded once and kept in two generations: when the younger
-    is full, the older goes, so frequent words stay and memory is bounded.
+    drops spaces and parts letters from marks. So a text's ids are those of its units in
+    turn. A block's distinct units are found by Arrow, and each is looked up once; its
+    occurrences are gathered from there. Simple units go to the same merges in long
+    lines, without normaliser and splitter, whose ids are told apart by the suffix of a
+    last token. Units are kept in two generations: when the younger is full, the older
+    goes, so frequent ones stay and memory is bounded.
     """
 
     def __init__(self, path: str):
@@ -50,35 +99,76 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"]["end_of_word_suffix"]
+        vocab = spec["model"]["vocab"]
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        spec |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.merger = Tokenizer.from_str(json.dumps(spec))
+        # Printable characters stand for their bytes, those from U+0100 on for the others.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [x for x in range(256) if x not in shown]
+        self.stands = [(chr(x), chr(256 + n)) for n, x in enumerate(hidden) if _TAIL[x]]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> None:
-        known, older = self.known, self.older
-        again = words & older.keys()
-        known.update((w, older[w]) for w in again)
-        new = words - again
-        marked = [w for w in new if w[-1] in b".," and len(w) > 1 and (97 <= w[-2] <= 122 or 65 <= w[-2] <= 90)]
-        parts = (new - set(marked)) | {w[:-1] for w in marked} | {w[-1:] for w in marked}
-        for w in parts & older.keys():
-            known[w] = older[w]
-        plain = list(parts - known.keys())
-        for i in range(0, len(plain), 10_000):
-            some = plain[i : i + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
-            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, found, strict=True))
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in marked)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        raw = [(t or "").encode("utf-8") for t in texts]
-        # Special tokens are matched before letters are lowered, so texts that may hold one keep their case.
-        words = [(t if b"<|" in t else t.lower()).split() for t in raw]
-        if len(self.known) > CACHE_WORDS // 2:
+    def _merged(self, units: list[bytes]) -> list[bytes]:
+        """Packed ids of simple units."""
+        line = b" ".join(units).decode("latin-1")
+        for byte, shown in self.stands:
+            line = line.replace(byte, shown)
+        ids = np.array(self.merger.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+        packed = ids.tobytes()
+        return [packed[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _learn(self, units: list[bytes]) -> None:
+        simple, other = [], []
+        for u in units:
+            (simple if SIMPLE.fullmatch(u) else other).append(u)
+        for i in range(0, len(simple), 5_000):
+            some = simple[i : i + 5_000]
+            self.known.update(zip(some, self._merged(some), strict=True))
+        for i in range(0, len(other), 5_000):
+            some = other[i : i + 5_000]
+            found = self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in some], add_special_tokens=False)
+            self.known.update((u, array("I", e.ids).tobytes()) for u, e in zip(some, found, strict=True))
+
+    def _look_up(self, units: list[bytes]) -> list[bytes]:
+        if len(self.known) > CACHE_UNITS // 2:
             self.older, self.known = self.known, {}
-        if new := set().union(*words) - self.known.keys():
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        known, older = self.known, self.older
+        missing = [u for u in units if u not in known]
+        known.update((u, older[u]) for u in missing if u in older)
+        self._learn([u for u in dict.fromkeys(missing) if u not in older])
+        return list(map(known.__getitem__, units))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        data, at = _text_bytes(texts)
+        raw = data.tobytes()
+        # Special tokens are matched before letters are lowered, so texts that may hold one keep their case and words.
+        special = {n: raw[at[n] : at[n + 1]] for n in range(len(texts)) if b"<|" in raw[at[n] : at[n + 1]]} if b"<|" in raw else {}
+        out = [b""] * len(texts)
+        if raw:
+            units, before = _units(raw.lower(), at)
+            coded = units.dictionary_encode()
+            _, cuts, distinct = coded.dictionary.buffers()
+            cuts, distinct = np.frombuffer(cuts, np.int32)[: len(coded.dictionary) + 1].tolist(), distinct.to_pybytes() if distinct else b""
+            found = self._look_up([distinct[i:j] for i, j in zip(cuts, cuts[1:])])
+            which = coded.indices.to_numpy()
+            sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
+            table = np.frombuffer(b"".join(found), "<u4")
+            counts = sizes[which]
+            ends = np.cumsum(counts, dtype=np.int32)
+            first = (np.cumsum(sizes, dtype=np.int32) - sizes)[which] - (ends - counts)
+            ids = table[np.repeat(first, counts) + np.arange(len(first) and ends[-1], dtype=np.int32)].tobytes()
+            cuts = (4 * np.r_[0, ends.astype(np.int64)][before]).tolist()
+            out = [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+        for n, text in special.items():
+            out[n] = b"".join(self._look_up(text.split()))
+        return out
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -95,8 +185,8 @@ def tokenised(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
     def run(batches):
         t = tokenizer(tokenizer_path)
-        for b in blocks(batches):
-            ids = [x + end for x in t.encode(b.column(1).to_pylist())]
+        for b in blocks(batches, most=BLOCK_BYTES):
+            ids = [x + end for x in t.encode(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
@@ -110,9 +200,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
 
     def run(batches):
         t = tokenizer(tokenizer_path)
-        for b in blocks(batches):
+        for b in blocks(batches, most=BLOCK_BYTES):
             rows = []
-            for doc, ids in zip(b.column(0).to_pylist(), t.encode(b.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), t.encode(b.column(1)), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

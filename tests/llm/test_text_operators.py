@@ -136,6 +136,32 @@ def test_packing_of_equal_ids_and_no_rows(spark, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+def test_packing_looks_units_up_once(monkeypatch):
+    import pyarrow as pa
+    from sondera.llm import packing
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, t = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    asked = []
+
+    class Slow:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    t.tokenizer = Slow()
+    plain = ["The old, old house; (été) naïve! the house***", "", None, "old. Old? OLD:\x0btheß--ÿ"]
+    odd = ["it's 'tis we'll x'-s", "É. a=\u0338 e\u0301, \x1c\x85é", "Big <|endoftext|>Big<|startoftext|> <|", "3.14 ab12,c"]
+    want = [array("I", library.encode(x or "", add_special_tokens=False).ids).tobytes() for x in plain + odd]
+    assert t.encode(pa.array(["cut off", *plain]).slice(1)) == want[:4]
+    assert not asked  # letters and marks never need the library's normaliser and splitter
+    for units in (400_000, 0):  # with what is known, and with all of it forgotten
+        monkeypatch.setattr(packing, "CACHE_UNITS", units)
+        assert t.encode(pa.array(plain + odd, pa.large_string())) == want
+    assert "it's" in asked and "house" not in asked
+
+
 def test_packing_materialises_sequences(spark, documents):
     from sondera.llm import packing
     from sondera.llm.common import staged
