@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,3 +94,11 @@ def byte_words(text: str | None) -> list[bytes]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hand_back() -> None:
+    """Return free memory to the system, at the end of a task: idle Python workers live on beside their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

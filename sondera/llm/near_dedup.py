@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondera.llm.common import byte_words, small, staged
+from sondera.llm.common import byte_words, hand_back, small, staged
 
 SHINGLE_WORDS = 5
 #: Required similarity in percent.
@@ -65,6 +65,8 @@ def _multipliers(bands: int) -> tuple[np.ndarray, np.ndarray]:
     return draw.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 1 << 63, n, np.uint64)
 
 
+#: Bytes of text looked at and handed out at a time.
+BLOCK_BYTES = 1_000_000
 #: Words whose hashes are kept while a task runs; its end forgets them, as workers live on.
 KEPT_WORDS = 200_000
 _words: dict[bytes, int] = {}
@@ -115,7 +117,7 @@ def signed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def run(batches):
         types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
-        for b in blocks(batches):
+        for b in blocks(batches, most=BLOCK_BYTES):
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingles(text)
@@ -129,6 +131,8 @@ def signed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in SIGNED_SCHEMA.split(", ")])
         _words.clear()
+        b = None
+        hand_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED_SCHEMA)
 
@@ -178,13 +182,15 @@ def sets(docs: DataFrame) -> DataFrame:
     from sondera.llm.bpe import blocks
 
     def run(batches):
-        for b in blocks(batches):
+        for b in blocks(batches, most=BLOCK_BYTES):
             s = [shingles(t).view(np.int64) for t in b.column(1).to_pylist()]
             number = [xxhash.xxh3_64_intdigest(x.tobytes()) for x in s]
             number = pa.array([x - (1 << 64) if x >> 63 else x for x in number], pa.int64())
             parts = pa.array([segment_counts(x) for x in s], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), number, pa.array(s, pa.list_(pa.int64())), parts], names=["doc_id", "set", "s", "parts"])
         _words.clear()
+        b = None
+        hand_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set long, s array<long>, parts array<int>")
 

@@ -195,6 +195,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Cut tokenised documents: one row per piece with its start, length and CRC-32."""
     from sondera.llm.bpe import blocks
+    from sondera.llm.common import hand_back
 
     end = SEPARATOR_ID.to_bytes(4, "little")
 
@@ -211,6 +212,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(columns, types, strict=True)], names=names)
+        b = None
+        hand_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES_SCHEMA)
 

@@ -148,3 +148,24 @@ def test_empty_tables_and_clashing_columns(spark, both, empty):
     assert kept.columns == masked.columns == both.columns
     assert masked.count() == both.count() and 0 < kept.count() < both.count()
     assert sorted(r.row for r in masked.filter("row is not null").collect()) == sorted(r.row for r in both.filter("row is not null").collect())
+
+
+def test_workers_hand_out_small_blocks(monkeypatch):
+    import pyarrow as pa
+    from sondera.llm import near_dedup
+
+    class Rows:  # runs a kernel on record batches without Spark
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return lambda batch: list(run(iter([batch])))
+
+    texts = [f"{n} " * 20_000 for n in range(40)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    for kernel in (near_dedup.signed, near_dedup.sets):
+        some = kernel(Rows())(batch)
+        assert len(some) > 1  # of 2 MB of text
+        monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 10**9)
+        assert pa.Table.from_batches(some).to_pylist() == pa.Table.from_batches(kernel(Rows())(batch)).to_pylist()
+        monkeypatch.undo()
