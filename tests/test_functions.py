@@ -113,6 +113,32 @@ def test_term_cosine_over_blocks_makes_no_candidate_rows(spark, monkeypatch):
     assert "Join" not in found._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_term_cosine_looks_at_the_words_of_few_pairs(spark, monkeypatch):
+    """Rows of other words and of other weights are told apart before their words are looked at; large counts stay exact."""
+    from collections import Counter
+
+    monkeypatch.setattr(similarity, "HEAD", 224)
+    draw = random.Random(3)
+    rare = lambda k: [f"r{draw.randint(0, 10**6)}" for _ in range(k)]
+    texts = [(n, " ".join(["|"] * (30 + n) + rare(6))) for n in range(60)] + [(100 + n, " ".join(draw.choices([f"k{n % 4}x{k}" for k in range(60)], k=300))) for n in range(60)]
+    texts += [(200 + n, " ".join(["long"] * 5000 + ["word"] * (700 + n) + rare(300))) for n in range(3)] + [(300, texts[70][1]), (301, texts[70][1] + " once")]
+    frame, looked = spark.createDataFrame(texts, "id long, text string"), []
+    bags, pivots = similarity.term_bags(frame)
+    rows = bags.withColumn("piece", F.lit(0)).toArrow().combine_chunks()
+    ranges = similarity._ranges
+    monkeypatch.setattr(similarity, "_ranges", lambda *x: looked.append(len(out := ranges(*x))) or out)
+    block = similarity._Block(rows, pivots)
+    got = {(int(x), int(y)): float(z) for b in rows.to_batches() for a, c, cosine in similarity._pairs_of(b, block, pivots, 0.95) for x, y, z in zip(a, c, cosine, strict=True)}
+    got = {(min(p), max(p)): c for p, c in got.items()}
+    count = {n: Counter(t.split()) for n, t in texts}
+    square = {n: sum(k * k for k in c.values()) for n, c in count.items()}
+    want = {(i, j): sum(k * count[j][w] for w, k in count[i].items()) / (square[i] * square[j]) ** 0.5 for i in count for j in count if i < j}
+    assert max(square.values()) > 2**24 and got == pytest.approx({p: c for p, c in want.items() if c >= 0.95}, abs=1e-12) and len(got) > 1500
+    assert sum(looked) < 20 * len(got)
+    found = similarity.term_cosine_pairs(frame, 0.95, digits=6).collect()
+    assert {(r.a, r.b): r.cosine for r in found} == {p: round(c, 6) for p, c in got.items()} and len(found) == len(got)
+
+
 def largest_share(pairs):
     counts = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
     return max(counts) / sum(counts), sum(counts)
